@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .text import words
+from .text import collapse_spaces
+from .vectors import let
 
 # Signature parameters and the published MurmurHash3 x86_32 constants.
 NUM_HASHES = 100
@@ -28,13 +29,13 @@ MASK32 = 0xFFFFFFFF
 
 def shingles(text: Column, q: int = 1) -> Column:
     """q-word shingles; a text of fewer than q words is a single shingle, null or empty gives ``[""]``."""
-    tokens = words(text)
-    if q == 1:
-        return F.when(F.size(tokens) < 1, F.array(F.lit(""))).otherwise(tokens)
-    starts = F.sequence(F.lit(1), F.size(tokens) - (q - 1))
-    return F.when(F.size(tokens) < q, F.array(F.array_join(tokens, " "))).otherwise(
-        F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(q)), " "))
-    )
+    starts_a_run = rf"(?<![^ ])(?=((?:[^ ]+ ){{{q - 1}}}[^ ]+))"
+
+    def cut(spaced: Column) -> Column:
+        too_short = (spaced == "") | (F.regexp_count(spaced, F.lit(" ")) < q - 1)
+        return F.when(too_short, F.array(spaced)).otherwise(F.regexp_extract_all(spaced, F.lit(starts_a_run), 1))
+
+    return let(collapse_spaces(F.coalesce(text, F.lit(""))), cut)
 
 
 def md5_hash32(value: Column) -> Column:

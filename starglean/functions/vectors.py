@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, also inside lambdas of ``use``."""
+    return F.transform(F.array(value), use)[0]
+
+
 def doubles(vec: Column) -> Column:
     return vec.cast("array<double>")
 
@@ -35,13 +42,12 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 def l2_normalize(vec: Column) -> Column:
     """Unit length; a zero vector stays as it is."""
-    size = norm(vec)
-    return F.when(size == 0, vec).otherwise(F.transform(vec, lambda x: x / size))
+    return let(norm(vec), lambda size: F.when(size == 0, vec).otherwise(F.transform(vec, lambda x: x / size)))
 
 
 def softmax(logits: Column) -> Column:
-    exps = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    return F.transform(exps, lambda e: e / total(exps))
+    exps = let(F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp(x - top)))
+    return let(exps, lambda es: let(total(es), lambda all_: F.transform(es, lambda e: e / all_)))
 
 
 def expected_class(probabilities: Column) -> Column:

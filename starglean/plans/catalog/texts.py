@@ -25,8 +25,8 @@ def _each(name: str, sql: str, expression):
         return views.reviews(spark, sf).select(KEY, expression(_body()).alias("value"))
 
 
-@query("g1_unescape_html", """SELECT page_id AS review_id,
-  replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS value FROM pages""")
+@query("g1_unescape_html", f"""SELECT page_id AS review_id,
+  {r.sub(r.sub(r.sub(r.sub('html', '&middot;?', '·'), '&copy;?', '©'), '&quot;?', '"'), '&amp;?', '&')} AS value FROM pages""")
 def _(spark, sf):
     return views.html_text(spark, sf).select(KEY, t.unescape_html(_body()).alias("value"))
 
