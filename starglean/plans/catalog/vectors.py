@@ -9,6 +9,7 @@ from ...functions import vectors as v
 from ...operators import dbscan as db
 from ...operators import density, kmeans, metrics, neighbors, profile, reduce
 from ...schema import KEY
+from ...session import cut_lineage
 from ...sources import views
 from .registry import POINTS, POINTS2, RESULTS, query
 
@@ -93,9 +94,9 @@ def _db_sql(points: str, label: str, where: str = "TRUE") -> str:
 
 @query("c7_centroid_pairs", f"WITH {_db_sql(POINTS, 'label')} SELECT label, round(si, 6) AS spread, round(ratio, 6) AS ratio FROM ratios")
 def _(spark, sf):
-    stats = metrics.spreads(_labelled(spark, sf), "label")
+    stats = cut_lineage(metrics.spreads(_labelled(spark, sf), "label"))
     worst = metrics.worst_ratios(stats, "label", stats.count())
-    return stats.withColumn("id", F.xxhash64("label")).join(worst, "id").select(
+    return stats.select("label", "spread", F.xxhash64("label").alias("cluster_id")).join(worst, F.col("cluster_id") == F.col("id")).select(
         "label", F.round("spread", 6).alias("spread"), F.round("ratio", 6).alias("ratio"))
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from ..functions.text import part_number
 from ..schema import KEY
 
 # Accepted Parquet codecs, and the Parquet magic bytes.
 CODECS = ("snappy", "gzip", "brotli", "zstd", "none")
-PARQUET_MAGIC = "PAR1"
+PARQUET_MAGIC = b"PAR1"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
@@ -66,7 +71,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
     Empty strings are written quoted, so they do not come back as null.
     """
-    df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
+    (
+        df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "snappy", mode: str = "overwrite") -> None:
@@ -106,9 +114,18 @@ def run_summary(spark: SparkSession, path: str, total: int, failed: int = 0) ->
     )
 
 
+@arrow_udf(T.BooleanType())
+def _has_magic(paths: pa.Array) -> pa.Array:
+    def intact(uri: str) -> bool:
+        system, path = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+        with system.open_input_file(path) as handle:
+            size = handle.size()
+            return size >= 8 and handle.read_at(4, 0) == handle.read_at(4, size - 4) == PARQUET_MAGIC
+
+    return pa.array([intact(p) for p in paths.to_pylist()])
+
+
 def parquet_magic_check(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """Whether each file starts and ends with the Parquet magic bytes."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    head, tail = F.substring("content", 1, 4), F.substring("content", -4, 4)
-    magic = F.lit(PARQUET_MAGIC).cast("binary")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), ((head == magic) & (tail == magic)).alias("intact"))
+    """Whether each file starts and ends with the Parquet magic bytes; reads eight bytes per file."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), _has_magic("path").alias("intact"))
