@@ -27,7 +27,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         least = both.groupBy("x").agg(F.least("x", F.min("y")).alias("m"))
         large = both.filter("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
         # Small star: x and its smaller neighbours move under the least of them.
-        large = cut_lineage(large.filter("u <> v").distinct())
+        large = large.filter("u <> v").distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         joined = large.join(low, "v")
         small = joined.select(F.explode(F.array("u", "v")).alias("v"), F.col("m").alias("u")).filter("u <> v").distinct()

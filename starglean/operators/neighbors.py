@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..schema import KEY
 from ..session import cut_lineage
 from .ordering import global_row_number, percentiles
-from .space import Copies, Space, build_space, collapse_copies, kth_limits, matrix_of, pair_distances, search
+from .space import Copies, Space, build_space, collapse_copies, kth_limits, look, matrix_of, pair_distances, per_cell, search
 
 NEIGHBOUR = "point bigint, neighbour bigint, distance double"
 
@@ -42,7 +42,7 @@ def nearest_points(space: Space, k: int) -> DataFrame:
         bounded = cells.select("point", "vec", F.lit(float("inf")).alias("limit"))
     else:
         bounded = _bounded(space, k)
-    found = search(space, bounded, _nearest(k), NEIGHBOUR)
+    found = search(space, look(space, bounded), _nearest(k), NEIGHBOUR)
     best = Window.partitionBy("point").orderBy("distance", "neighbour")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
@@ -51,7 +51,6 @@ def _bounded(space: Space, k: int) -> DataFrame:
     """Queries with a first search radius: the k-th nearest in the query's own block, or among the pivots."""
     pivots, block_rows = space.pivots, space.block_rows
     blocks = np.maximum(1, np.ceil(space.sizes / block_rows)).astype(int)
-    per_cell = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
 
     def own_block(t: pa.Table) -> pa.Table:
         v = matrix_of(t.column("vec"))
@@ -60,7 +59,7 @@ def _bounded(space: Space, k: int) -> DataFrame:
             limit = kth_limits(v, candidates, k, limit)
         return pa.table({"point": t.column("point"), "vec": t.column("vec"), "limit": pa.array(limit)})
 
-    own = space.cells.select("point", "vec", "cell").withColumn("block", F.pmod(F.xxhash64("point"), per_cell))
+    own = space.cells.select("point", "vec", "cell").withColumn("block", F.pmod(F.xxhash64("point"), per_cell(blocks, F.col("cell"))))
     return cut_lineage(own.groupBy("cell", "block").applyInArrow(own_block, "point bigint, vec array<double>, limit double"))
 
 

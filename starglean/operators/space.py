@@ -8,6 +8,10 @@ within it: for cell j the distance is at least
     (|q p_j|^2 - |q p_home|^2) / (2 |p_home p_j|)     (it lies beyond the bisector)
     |q p_j| - radius_j                                (it lies inside a ball)
 
+and a cell with |q p_j| + radius_j within the radius is wholly inside, so it is
+counted or linked as one thing without a visit.  Points of a dense region, however
+many, mostly see such cells.
+
 Cells and their visitors are cut into blocks of bounded size, so a hot cell is
 many tasks, and a task returns a reduced answer (k best, a count, a spanning
 forest), never its pairs.  Equal vectors are collapsed to one weighted point
@@ -21,7 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import list_column, matrix_of
@@ -111,6 +115,7 @@ class Space:
     cells: DataFrame  # point, vec, weight, cell, reach (distance to the pivot)
     sizes: np.ndarray = field(default_factory=lambda: np.zeros(0))
     radii: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     block_rows: int = BLOCK_ROWS
 
     @property
@@ -143,10 +148,12 @@ def build_space(
 
 def restrict(space: Space, cells: DataFrame) -> Space:
     """The same pivots over a subset of the points (or with more columns)."""
-    sizes, radii = np.zeros(len(space.pivots)), np.zeros(len(space.pivots))
-    for row in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect():
-        sizes[row["cell"]], radii[row["cell"]] = row["n"], row["r"]
-    return Space(space.pivots, cells, sizes, radii, space.block_rows)
+    sizes, radii, weights = (np.zeros(len(space.pivots)) for _ in range(3))
+    weight = F.sum("weight") if "weight" in cells.columns else F.count(F.lit(1))
+    stats = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("r"), weight.alias("w"))
+    for row in stats.collect():
+        sizes[row["cell"]], radii[row["cell"]], weights[row["cell"]] = row["n"], row["r"], row["w"]
+    return Space(space.pivots, cells, sizes, radii, weights, space.block_rows)
 
 
 def _to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -158,53 +165,68 @@ def _to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return out
 
 
-def _visits(space: Space, queries: DataFrame) -> DataFrame:
-    """Each query once per cell it must look into.  Needs columns ``vec`` and ``limit``."""
+def look(space: Space, queries: DataFrame, inside: bool = False, owner: np.ndarray | None = None) -> DataFrame:
+    """Add ``visit``, the cells each query must look into, and ``inside``, the cells wholly within its limit.
+
+    ``queries`` has ``vec`` and ``limit``.  Without ``inside`` such cells are
+    visited like others.  ``owner`` names the component that fills a whole cell
+    (-1 for none); a query with a ``component`` column skips its own cells.
+    """
     pivots, sizes, radii = space.pivots, space.sizes, space.radii
     between = _to_pivots(pivots, pivots)
-    scale = 1.0 + between.max(initial=0.0)
+    slack = SLACK * (1.0 + between.max(initial=0.0))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             d = _to_pivots(matrix_of(batch.column("vec")), pivots)
-            limit = batch.column("limit").to_numpy(zero_copy_only=False)
+            limit = batch.column("limit").to_numpy(zero_copy_only=False)[:, None]
             home = d.argmin(axis=1)
             nearest = d[np.arange(len(d)), home]
             gap = between[home]
             with np.errstate(divide="ignore", invalid="ignore"):
                 beyond = np.where(gap > 0, (d * d - (nearest * nearest)[:, None]) / (2.0 * gap), 0.0)
-            lower = np.maximum(beyond, d - radii[None, :])
-            rows, cells = np.nonzero((lower <= (limit + SLACK * scale)[:, None]) & (sizes > 0)[None, :])
-            picked = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [*picked.columns, pa.array(cells.astype(np.int32))], [*picked.schema.names, "cell"]
-            )
+            reached = (np.maximum(beyond, d - radii) <= limit + slack) & (sizes > 0)
+            if owner is not None:
+                reached &= owner[None, :] != batch.column("component").to_numpy(zero_copy_only=False)[:, None]
+            whole = reached & (d + radii <= limit - slack) if inside else np.zeros_like(reached)
+            columns = [*batch.columns, _index_lists(reached & ~whole), _index_lists(whole)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "visit", "inside"])
 
     kinds = ", ".join(f"{n} {t}" for n, t in queries.dtypes)
-    return queries.mapInArrow(spread, f"{kinds}, cell int")
+    return queries.mapInArrow(spread, f"{kinds}, visit array<int>, inside array<int>")
+
+
+def _index_lists(mask: np.ndarray) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum(mask.sum(axis=1))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.nonzero(mask)[1].astype(np.int32)))
 
 
 Kernel = Callable[[pa.Table, pa.Table], pa.Table]
 
 
-def search(space: Space, queries: DataFrame, kernel: Kernel, schema: str) -> DataFrame:
+def per_cell(values: np.ndarray, cell: Column) -> Column:
+    """A per-cell constant looked up by cell number."""
+    return F.element_at(F.array(*[F.lit(int(x)) for x in values]), cell + 1)
+
+
+def search(space: Space, looked: DataFrame, kernel: Kernel, schema: str) -> DataFrame:
     """Run ``kernel(queries, data)`` on every block pair a query can find something in.
 
-    ``queries`` has ``point``, ``vec``, ``limit`` and whatever the kernel wants.
+    ``looked`` comes from :func:`look` and has what the kernel wants.
     Hot cells: data is cut into blocks that each visitor goes to, and visitors
     are cut into blocks that each data block is sent to.
     """
-    visits = _visits(space, queries)
+    visits = looked.withColumn("cell", F.explode("visit")).drop("visit", "inside")
     visitors = np.zeros(len(space.pivots))
     for row in visits.groupBy("cell").count().collect():
         visitors[row["cell"]] = row["count"]
     data_blocks = np.maximum(1, np.ceil(space.sizes / space.block_rows)).astype(int)
     query_blocks = np.maximum(1, np.ceil(visitors / space.block_rows)).astype(int)
-    per_cell = lambda counts: F.element_at(F.array(*[F.lit(int(c)) for c in counts]), F.col("cell") + 1)
-    block_of = lambda counts: F.pmod(F.xxhash64("point"), per_cell(counts)).cast("int")
-    every = lambda counts: F.explode(F.sequence(F.lit(0), per_cell(counts) - 1))
+    here = F.col("cell")
+    block_of = lambda counts: F.pmod(F.xxhash64("point"), per_cell(counts, here)).cast("int")
+    every = lambda counts: F.explode(F.sequence(F.lit(0), per_cell(counts, here) - 1))
     left = visits.withColumn("qb", block_of(query_blocks)).withColumn("db", every(data_blocks))
     right = space.cells.withColumn("db", block_of(data_blocks)).withColumn("qb", every(query_blocks))
     names = [f.strip().split(" ")[0] for f in schema.split(",")]
@@ -226,6 +248,6 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 __all__ = [
-    "Copies", "Space", "arrow_schema", "build_space", "collapse_copies", "kth_limits", "list_column", "matrix_of",
-    "pair_distances", "restrict", "search",
+    "Copies", "Space", "arrow_schema", "build_space", "collapse_copies", "kth_limits", "list_column", "look",
+    "matrix_of", "pair_distances", "per_cell", "restrict", "search",
 ]

@@ -149,7 +149,8 @@ def _(spark, sf):
 
 _FEATURES = 300
 _SCORES = f"""{REVIEWS}, low AS (SELECT review_id, lang, lower(body) AS s FROM reviews),
-  grams AS (SELECT review_id, lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) AS gram FROM low),
+  chars AS (SELECT review_id, lang, string_split(s, '') AS c FROM low),
+  grams AS (SELECT review_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM chars),
   counts AS (SELECT lang, gram, count(*) AS n FROM grams GROUP BY lang, gram),
   totals AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
   top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM counts) WHERE k <= {_FEATURES}),
