@@ -33,7 +33,8 @@ def shingles(text: Column, q: int = 1) -> Column:
 
     def cut(spaced: Column) -> Column:
         too_short = (spaced == "") | (F.regexp_count(spaced, F.lit(" ")) < q - 1)
-        return F.when(too_short, F.array(spaced)).otherwise(F.regexp_extract_all(spaced, F.lit(starts_a_run), 1))
+        runs = F.split(spaced, " ") if q == 1 else F.regexp_extract_all(spaced, F.lit(starts_a_run), 1)
+        return F.when(too_short, F.array(spaced)).otherwise(runs)
 
     return let(collapse_spaces(F.coalesce(text, F.lit(""))), cut)
 

@@ -74,10 +74,14 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def clean_text(text: Column, newline_as_space: bool = False) -> Column:
-    """The canonical cleaner.  ``newline_as_space`` keeps words on adjacent lines apart."""
+    """The canonical cleaner.  ``newline_as_space`` keeps words on adjacent lines apart.
+
+    Line breaks are control characters, so by default none is left to turn into
+    a space after the first step.
+    """
     if newline_as_space:
         text = line_breaks_to_space(text)
-    return collapse_spaces(line_breaks_to_space(remove_urls(remove_control_chars(text))))
+    return collapse_spaces(remove_urls(remove_control_chars(text)))
 
 
 def clean_special_chars(text: Column) -> Column:
@@ -119,9 +123,9 @@ def normalize_for_shingles(text: Column, order: str = "script") -> Column:
     has its capitals, so "The" survives as "the".
     """
     if order == "script":
-        return remove_stopwords(collapse_spaces(remove_digits(remove_punctuation(F.lower(text)))))
+        return remove_stopwords(remove_digits(remove_punctuation(F.lower(text))))
     if order == "notebook":
-        return F.lower(collapse_spaces(remove_stopwords(remove_digits(remove_punctuation(text)))))
+        return F.lower(remove_stopwords(remove_digits(remove_punctuation(text))))
     raise ValueError(f"unknown order: {order}")
 
 

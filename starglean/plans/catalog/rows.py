@@ -56,7 +56,7 @@ def _(spark, sf):
 
 
 def _cleaned(spark, sf):
-    return views.reviews(spark, sf).withColumn("cleanText", t.clean_text(F.col(f"`{TEXT}`")))
+    return views.reviews(spark, sf, spread=True).withColumn("cleanText", t.clean_text(F.col(f"`{TEXT}`")))
 
 
 @query("b3_drop_uncleaned", f"""WITH {REVIEWS}, cleaned AS (SELECT review_id, {clean('body')} AS c FROM reviews)
@@ -91,7 +91,7 @@ def _(spark, sf):
   FROM sized WHERE n_words < 5 OR n_words > 5000""")
 def _(spark, sf):
     n = F.col("n_words")
-    sized = views.reviews(spark, sf).select(KEY, t.word_count(F.col(f"`{TEXT}`")).cast("bigint").alias("n_words"))
+    sized = views.reviews(spark, sf, spread=True).select(KEY, t.word_count(F.col(f"`{TEXT}`")).cast("bigint").alias("n_words"))
     return sized.filter((n < 5) | (n > 5000)).withColumn("band", F.when(n < 2, "one").when(n < 5, "short").otherwise("long"))
 
 
@@ -109,7 +109,7 @@ def _(spark, sf):
   SELECT review_id, CASE WHEN len({words('body')}) < 20 THEN 'unknown' ELSE lang END AS lang FROM reviews""")
 def _(spark, sf):
     lang = filters.short_text_language(F.col("lang"), F.col(f"`{TEXT}`"), min_tokens=20)
-    return views.reviews(spark, sf).select(KEY, lang.alias("lang"))
+    return views.reviews(spark, sf, spread=True).select(KEY, lang.alias("lang"))
 
 
 @query("b11_casts", f"""WITH {RESULTS}

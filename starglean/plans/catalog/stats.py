@@ -19,8 +19,8 @@ def _rated(spark, sf):
 RATED = RESULTS + ", rated AS (SELECT review_id, cluster_kmeans AS cluster, rating, sentiment_score, cluster_dbscan FROM results)"
 
 
-def _plain(spark, sf):
-    r = views.reviews(spark, sf)
+def _plain(spark, sf, spread=False):
+    r = views.reviews(spark, sf, spread)
     return r.select(KEY, F.col(ITEM).alias("item"), F.col(f"`{SCORE}`").alias("score"), F.col(f"`{TEXT}`").alias("body"), "lang")
 
 
@@ -191,7 +191,7 @@ def _(spark, sf):
 
 
 def _word_counts(spark, sf):
-    return _plain(spark, sf).select(KEY, t.word_count(F.col("body")).alias("n_words"))
+    return _plain(spark, sf, spread=True).select(KEY, t.word_count(F.col("body")).alias("n_words"))
 
 
 WORD_COUNTS = f"{REVIEWS}, w AS (SELECT review_id, CAST(len({words('body')}) AS DOUBLE) AS n_words FROM reviews)"

@@ -16,13 +16,13 @@ from .registry import REVIEWS, query
 
 
 def _cleaned(spark, sf):
-    rows = views.reviews(spark, sf)
+    rows = views.reviews(spark, sf, spread=True)
     return rows.select(KEY, ITEM, F.col(f"`{SCORE}`"), t.clean_text(F.col(f"`{TEXT}`"), newline_as_space=True).alias(CLEAN), "lang")
 
 
 def _raw(spark, sf):
     """The raw review layout; the document number serves as item so rows can be told apart."""
-    return views.reviews(spark, sf).select(
+    return views.reviews(spark, sf, spread=True).select(
         F.col(KEY).cast("string").alias(ITEM), F.col(f"`{SCORE}`"), F.lit("").alias(SUMMARY), F.col(f"`{TEXT}`"),
         F.col(ITEM).alias(USER))
 
@@ -161,20 +161,20 @@ _SCORES = f"""{REVIEWS}, low AS (SELECT review_id, lang, lower(body) AS s FROM r
 
 
 def _profiles(spark, sf, features=_FEATURES):
-    return language.train_profiles(views.reviews(spark, sf), TEXT, features=features)
+    return language.train_profiles(views.reviews(spark, sf, spread=True), TEXT, features=features)
 
 
 @query("i1_language_scores", f"WITH {_SCORES} SELECT review_id, lang, round(score, 4) AS score FROM scores")
 def _(spark, sf):
     p = _profiles(spark, sf)
     names = F.array(*[F.lit(n) for n in p.languages])
-    scored = views.reviews(spark, sf).select(KEY, language.language_scores(F.col(f"`{TEXT}`"), p).alias("s"))
+    scored = views.reviews(spark, sf, spread=True).select(KEY, language.language_scores(F.col(f"`{TEXT}`"), p).alias("s"))
     return scored.select(KEY, F.inline(F.arrays_zip(names.alias("lang"), F.col("s").alias("score")))).toDF(KEY, "lang", "score").withColumn("score", F.round("score", 4))
 
 
 @query("i1_tag_language", f"WITH {_SCORES} SELECT review_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY score DESC, lang) AS k FROM scores) WHERE k = 1")
 def _(spark, sf):
-    return language.tag_language(views.reviews(spark, sf).drop("lang"), _profiles(spark, sf), TEXT).select(KEY, "lang")
+    return language.tag_language(views.reviews(spark, sf, spread=True).drop("lang"), _profiles(spark, sf), TEXT).select(KEY, "lang")
 
 
 # --- encoders ----------------------------------------------------------------------------------
@@ -186,7 +186,7 @@ def _(spark, sf):
   SELECT review_id, CAST(i AS INTEGER) AS pos, round(coalesce(x / CASE WHEN size = 0 THEN 1 ELSE size END, 0), 4) + 0.0 AS x
   FROM reviews CROSS JOIN range(32) g(i) LEFT JOIN b ON b.review_id = reviews.review_id AND b.pos = i LEFT JOIN n ON n.review_id = reviews.review_id""".replace("SELECT review_id, CAST(i", "SELECT reviews.review_id AS review_id, CAST(i"))
 def _(spark, sf):
-    rows = views.reviews(spark, sf).select(KEY, encode.hash_embedding(F.col(f"`{TEXT}`"), 32).alias("v"))
+    rows = views.reviews(spark, sf, spread=True).select(KEY, encode.hash_embedding(F.col(f"`{TEXT}`"), 32).alias("v"))
     return rows.select(KEY, F.posexplode("v").alias("pos", "x")).withColumn("x", F.round(F.col("x").cast("double"), 4) + 0.0)
 
 
@@ -201,18 +201,18 @@ class TokenStatistics:
 
 @query("k2_batch_model", f"WITH {REVIEWS} SELECT review_id, length(body)::DOUBLE AS n_chars, (length(body) - length(replace(body, 'e', '')))::DOUBLE AS n_e FROM reviews")
 def _(spark, sf):
-    rows = encode.embed_text(views.reviews(spark, sf), TEXT, encoder=TokenStatistics())
+    rows = encode.embed_text(views.reviews(spark, sf, spread=True), TEXT, encoder=TokenStatistics())
     return rows.select(KEY, F.col("embedding")[0].cast("double").alias("n_chars"), F.col("embedding")[2].cast("double").alias("n_e"))
 
 
 def _class_model(spark, sf):
-    rows = encode.embed_text(views.labelled_reviews(spark, sf), TEXT, dims=32)
+    rows = encode.embed_text(views.labelled_reviews(spark, sf, spread=True), TEXT, dims=32)
     return encode.fit_class_model(rows, "quality")
 
 
 @query("i3_expected_class")
 def _(spark, sf):
-    rows = encode.embed_text(views.reviews(spark, sf), TEXT, dims=32)
+    rows = encode.embed_text(views.reviews(spark, sf, spread=True), TEXT, dims=32)
     return encode.score_expected_class(rows, _class_model(spark, sf)).select(KEY, "sentiment_score")
 
 
@@ -221,7 +221,7 @@ def _(spark, sf):
 @query("i0_preprocess", f"""WITH {REVIEWS}, c AS (SELECT review_id, item, score, {r.clean('body')} AS t FROM reviews)
   SELECT review_id, item, score, replace(replace(t, '\\''', ''''), '\\"', '"') AS clean_text FROM c WHERE NOT regexp_matches(t, '[^\\x00-\\x7F]')""")
 def _(spark, sf):
-    return jobs.preprocess(views.reviews(spark, sf)).toDF(KEY, "item", "score", "clean_text")
+    return jobs.preprocess(views.reviews(spark, sf, spread=True)).toDF(KEY, "item", "score", "clean_text")
 
 
 @query("i4_embedding_job", f"WITH {REVIEWS} SELECT review_id, item AS row_id, score FROM reviews")

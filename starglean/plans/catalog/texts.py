@@ -22,7 +22,7 @@ def _each(name: str, sql: str, expression):
 
     @query(name, f"WITH {REVIEWS} SELECT review_id, {sql} AS value FROM reviews")
     def _(spark, sf):
-        return views.reviews(spark, sf).select(KEY, expression(_body()).alias("value"))
+        return views.reviews(spark, sf, spread=True).select(KEY, expression(_body()).alias("value"))
 
 
 @query("g1_unescape_html", f"""SELECT page_id AS review_id,
@@ -67,7 +67,7 @@ _each("g15_word_count", f"len({r.words('body')})", lambda c: t.word_count(c).cas
 
 @query("g17_strip_label_prefix", "SELECT doc_id AS review_id, lang AS value FROM documents")
 def _(spark, sf):
-    tagged = views.reviews(spark, sf).select(KEY, F.concat(F.lit("__label__"), "lang").alias("tag"))
+    tagged = views.reviews(spark, sf, spread=True).select(KEY, F.concat(F.lit("__label__"), "lang").alias("tag"))
     return tagged.select(KEY, t.strip_label_prefix(F.col("tag")).alias("value"))
 
 
@@ -90,7 +90,7 @@ _SHINGLES2 = f"""shingled AS (SELECT review_id, w, CASE WHEN len(w) < 2 THEN [ar
   SELECT review_id, len(s) AS n, array_to_string(s, '|') AS joined FROM shingled""")
 def _(spark, sf):
     s = F.col("s")
-    rows = views.reviews(spark, sf).select(KEY, hashing.shingles(t.clean_text(_body()), 2).alias("s"))
+    rows = views.reviews(spark, sf, spread=True).select(KEY, hashing.shingles(t.clean_text(_body()), 2).alias("s"))
     return rows.select(KEY, F.size(s).cast("bigint").alias("n"), F.array_join(s, "|").alias("joined"))
 
 
@@ -100,7 +100,7 @@ _MD5_32 = "('0x' || substr(md5({0}), 1, 8))::BIGINT"
 @query("h2_base_hash", f"""WITH {REVIEWS}, tokens AS (SELECT DISTINCT unnest({r.words('body')}) AS token FROM reviews)
   SELECT token, {_MD5_32.format('token')} AS h FROM tokens""")
 def _(spark, sf):
-    tokens = views.reviews(spark, sf).select(F.explode(t.words(_body())).alias("token")).distinct()
+    tokens = views.reviews(spark, sf, spread=True).select(F.explode(t.words(_body())).alias("token")).distinct()
     return tokens.select("token", hashing.md5_hash32(F.col("token")).alias("h"))
 
 
@@ -126,7 +126,7 @@ def _murmur_sql(token: str) -> str:
 @query("h2_murmur3_hash", f"""WITH {REVIEWS}, tokens AS (SELECT DISTINCT unnest({r.words('body')}) AS token FROM reviews),
   {_murmur_sql('token')} SELECT token, h FROM murmur""")
 def _(spark, sf):
-    tokens = views.reviews(spark, sf).select(F.explode(t.words(_body())).alias("token")).distinct()
+    tokens = views.reviews(spark, sf, spread=True).select(F.explode(t.words(_body())).alias("token")).distinct()
     return tokens.select("token", hashing.base_hashes(F.array("token"), "murmur3")[0].alias("h"))
 
 
@@ -152,7 +152,7 @@ _NORMAL_WORDS = f"""normal AS (SELECT review_id, {r.words(r.script_normal(r.clea
   """ + _signature_sql(f"hashed AS (SELECT review_id, {_MD5_32.format('token')} AS h FROM pieces)"))
 def _(spark, sf):
     sig = hashing.text_signature(t.clean_text(_body()), q=2, base="md5")
-    return _joined_signature(views.reviews(spark, sf).select(KEY, sig.alias("sig")))
+    return _joined_signature(views.reviews(spark, sf, spread=True).select(KEY, sig.alias("sig")))
 
 
 @query("h4_minhash_dataset", f"""WITH {REVIEWS}, {_NORMAL_WORDS}, tokens AS (SELECT DISTINCT token FROM shingled),
@@ -160,19 +160,19 @@ def _(spark, sf):
   """ + _signature_sql("hashed AS (SELECT review_id, h FROM shingled JOIN murmur USING (token))"))
 def _(spark, sf):
     sig = hashing.text_signature(t.normalize_for_shingles(t.clean_text(_body())))
-    return _joined_signature(views.reviews(spark, sf).select(KEY, sig.alias("sig")))
+    return _joined_signature(views.reviews(spark, sf, spread=True).select(KEY, sig.alias("sig")))
 
 
 @query("d27_rare_characters", f"""WITH {REVIEWS}, c AS (SELECT unnest(string_split(body, '')) AS ch FROM reviews)
   SELECT ch, count(*) AS n FROM c WHERE ch <> '' AND NOT regexp_matches(ch, '[\\p{{L}}\\p{{N}}]') GROUP BY ch HAVING count(*) < 50""")
 def _(spark, sf):
-    return profile.rare_characters(views.reviews(spark, sf), TEXT)
+    return profile.rare_characters(views.reviews(spark, sf, spread=True), TEXT)
 
 
 @query("d28_top_non_ascii", f"""WITH {REVIEWS}, c AS (SELECT unnest(regexp_extract_all(body, '[^\\x00-\\x7F]')) AS ch FROM reviews)
   SELECT ch, count(*) AS n FROM c GROUP BY ch ORDER BY n DESC, ch LIMIT 30""")
 def _(spark, sf):
-    return profile.top_non_ascii(views.reviews(spark, sf), TEXT)
+    return profile.top_non_ascii(views.reviews(spark, sf, spread=True), TEXT)
 
 
 def _audit_sql(text: str) -> str:
@@ -187,7 +187,7 @@ def _audit_sql(text: str) -> str:
 @query("d29_normalized_audit", f"""WITH {REVIEWS}, n AS (SELECT {r.script_normal('body')} AS c FROM reviews)
   SELECT {_audit_sql('c')} FROM n""")
 def _(spark, sf):
-    return profile.clean_audit(views.reviews(spark, sf).select(t.normalize_for_shingles(_body()).alias("c")), "c")
+    return profile.clean_audit(views.reviews(spark, sf, spread=True).select(t.normalize_for_shingles(_body()).alias("c")), "c")
 
 
 @query("d30_clean_audit", f"""WITH raw AS (SELECT html AS c FROM pages)
@@ -201,4 +201,4 @@ def _(spark, sf):
 
 @query("k1_scalar_text_function", f"WITH {REVIEWS} SELECT review_id, item, length({r.clean('body')}) AS n_chars FROM reviews")
 def _(spark, sf):
-    return views.reviews(spark, sf).select(KEY, F.col("Id").alias("item"), F.length(t.clean_text(_body())).cast("bigint").alias("n_chars"))
+    return views.reviews(spark, sf, spread=True).select(KEY, F.col("Id").alias("item"), F.length(t.clean_text(_body())).cast("bigint").alias("n_chars"))

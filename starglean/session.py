@@ -58,6 +58,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread_rows(scan: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has too few splits.
+
+    A multi-line CSV file or a Parquet file with one row group is one task,
+    however large.  With at least as many splits as cores (any sizeable folder)
+    nothing happens.  Call it on a scan: counting splits must not run a job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def join_small(
     left: DataFrame,
     small: DataFrame,

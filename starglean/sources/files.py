@@ -13,6 +13,7 @@ from pyspark.sql.functions import arrow_udf
 
 from ..functions.text import part_number
 from ..schema import KEY
+from ..session import spread_rows
 
 # Accepted Parquet codecs, and the Parquet magic bytes.
 CODECS = ("snappy", "gzip", "brotli", "zstd", "none")
@@ -21,10 +22,9 @@ PARQUET_MAGIC = b"PAR1"
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
     """Headered CSV whose quoted text may hold separators, quotes and newlines."""
-    return (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("sep", sep).option("encoding", encoding).csv(path)
-    )
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
+    reader = reader.option("quote", '"').option("escape", '"').option("sep", sep).option("encoding", encoding)
+    return spread_rows(reader.csv(path))
 
 
 def read_csv_text(
@@ -32,11 +32,9 @@ def read_csv_text(
 ) -> DataFrame:
     """CSV with every column a string, empty cells kept as empty strings, malformed lines skipped."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    frame = (
-        spark.read.schema(schema).option("header", True).option("multiLine", True).option("mode", "DROPMALFORMED")
-        .option("quote", '"').option("escape", '"').option("sep", sep).option("encoding", encoding).csv(path)
-    )
-    return frame.na.fill("")
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("mode", "DROPMALFORMED")
+    reader = reader.option("quote", '"').option("escape", '"').option("sep", sep).option("encoding", encoding)
+    return spread_rows(reader.csv(path)).na.fill("")
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ITEM, KEY, LANG, SCORE, TEXT
+from ..session import spread_rows
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+def reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """``spread`` for heavy per-row text work, see :func:`spread_rows`."""
+    documents = table(spark, folder, "documents")
+    return (spread_rows(documents) if spread else documents).select(
         F.col("doc_id").alias(KEY),
         F.col("source").alias(ITEM),
         (1 + F.col("n_chars") % 5).cast("double").alias(SCORE),
@@ -22,10 +25,10 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def labelled_reviews(spark: SparkSession, folder: str) -> DataFrame:
+def labelled_reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """Reviews with the partly missing quality and toxicity labels."""
     labels = table(spark, folder, "labels").withColumnRenamed("doc_id", KEY)
-    return reviews(spark, folder).join(labels, KEY, "left")
+    return reviews(spark, folder, spread).join(labels, KEY, "left")
 
 
 def cluster_results(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,4 +52,4 @@ def points2(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def html_text(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select(F.col("page_id").alias(KEY), F.col("html").alias(TEXT))
+    return spread_rows(table(spark, folder, "pages")).select(F.col("page_id").alias(KEY), F.col("html").alias(TEXT))
