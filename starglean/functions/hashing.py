@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from ..session import costly
 from .text import collapse_spaces
 from .vectors import let
 
@@ -83,7 +84,7 @@ def _offsets(lists: pa.Array) -> pa.Array:
 def base_hashes(shingle_list: Column, base: str = "murmur3") -> Column:
     """The 32-bit hash of every shingle: ``murmur3`` or the SQL-portable ``md5``."""
     if base == "murmur3":
-        return _murmur3_each(shingle_list)
+        return costly(_murmur3_each)(shingle_list)
     if base == "md5":
         return F.transform(shingle_list, md5_hash32)
     raise ValueError(f"unknown base hash: {base}")
@@ -116,7 +117,7 @@ def minhash_signature(
         bounds = pa.array(np.arange(0, mins.size + 1, num_hashes, dtype=np.int32))
         return pa.ListArray.from_arrays(bounds, pa.array(mins.ravel()))
 
-    return signature(hashes)
+    return costly(signature)(hashes)
 
 
 def text_signature(text: Column, q: int = 1, base: str = "murmur3", **kwargs: int) -> Column:

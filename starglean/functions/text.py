@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from ..session import costly
+
 # Character classes and patterns the results depend on.
 SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTROL_CHARS = r"[\x00-\x1F\x7F]"
@@ -53,7 +55,7 @@ def _unescape(texts: pa.Array) -> pa.Array:
 def unescape_html(text: Column) -> Column:
     """HTML entities to characters; texts without ``&`` never leave the JVM."""
     candidate = F.when(text.contains("&"), text)
-    return F.coalesce(_unescape(candidate), text)
+    return F.coalesce(costly(_unescape)(candidate), text)
 
 
 def remove_control_chars(text: Column) -> Column:

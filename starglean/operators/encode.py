@@ -16,6 +16,7 @@ from pyspark.sql.functions import arrow_udf
 from ..functions.hashing import md5_hash32
 from ..functions.text import words
 from ..functions.vectors import doubles, expected_class, list_column, softmax
+from ..session import costly
 
 #: Loads a model in a Python worker and returns the function applied to each batch.
 PredictFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
@@ -41,7 +42,7 @@ def hash_embedding(text: Column, dims: int = 64, normalize: bool = True) -> Colu
             out = out / np.where(size == 0, 1.0, size)
         return list_column(out, pa.float32())
 
-    return encode(F.transform(words(F.lower(text)), md5_hash32))
+    return costly(encode)(F.transform(words(F.lower(text)), md5_hash32))
 
 
 def embed_text(
@@ -52,7 +53,7 @@ def embed_text(
     column = F.col(f"`{text}`")
     if encoder is None:
         return df.withColumn(out, hash_embedding(column, dims))
-    predict = predict_batch_udf(encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    predict = costly(predict_batch_udf(encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size))
     return df.withColumn(out, predict(F.coalesce(column, F.lit(""))))
 
 
@@ -73,6 +74,6 @@ def score_expected_class(
         scored = model.setPredictionCol("_prediction").setRawPredictionCol("_raw").setProbabilityCol("_probability").transform(data)
         score = expected_class(vector_to_array("_probability"))
         return scored.withColumn(out, score.cast("float")).drop("features", "_prediction", "_raw", "_probability")
-    logits = predict_batch_udf(model, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    logits = costly(predict_batch_udf(model, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size))
     with_logits = df.withColumn("_logits", doubles(logits(F.coalesce(F.col(f"`{source}`"), F.lit("")))))
     return with_logits.withColumn(out, expected_class(softmax(F.col("_logits"))).cast("float")).drop("_logits")

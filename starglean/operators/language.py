@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from ..session import costly
 from .filters import short_text_language
 
 UNKNOWN = "unknown"
@@ -88,7 +89,7 @@ def language_scores(text: Column, profiles: Profiles) -> Column:
             out.append((hits[used] @ gains[used] + len(grams) * floors).tolist())
         return pa.array(out, pa.list_(pa.float64()))
 
-    return score(F.lower(text))
+    return costly(score)(F.lower(text))
 
 
 def tag_language(df: DataFrame, profiles: Profiles, text: str, min_tokens: int = 1, out: str = "lang") -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted rows are at or below this.
@@ -58,6 +59,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def costly(udf: Callable[..., Column]) -> Callable[..., Column]:
+    """Have the optimizer evaluate a model-like function once per row.
+
+    A deterministic function may be copied into a pushed-down or inferred
+    filter and so run twice; marking it non-deterministic keeps it in place.
+    """
+    return udf.asNondeterministic()  # type: ignore[attr-defined]
+
+
 def spread_rows(scan: DataFrame) -> DataFrame:
     """Use all cores on a scan that has too few splits.
 
