@@ -135,7 +135,7 @@ def build_space(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                d = _to_pivots(matrix_of(batch.column("vec")), pivots)
+                d = to_pivots(matrix_of(batch.column("vec")), pivots)
                 cell = d.argmin(axis=1)
                 columns = [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "cell", "reach"])
@@ -156,7 +156,7 @@ def restrict(space: Space, cells: DataFrame) -> Space:
     return Space(space.pivots, cells, sizes, radii, weights, space.block_rows)
 
 
-def _to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+def to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Distances to all pivots, by direct differences per pivot."""
     out = np.empty((len(vectors), len(pivots)))
     for j, p in enumerate(pivots):
@@ -173,14 +173,14 @@ def look(space: Space, queries: DataFrame, inside: bool = False, owner: np.ndarr
     (-1 for none); a query with a ``component`` column skips its own cells.
     """
     pivots, sizes, radii = space.pivots, space.sizes, space.radii
-    between = _to_pivots(pivots, pivots)
+    between = to_pivots(pivots, pivots)
     slack = SLACK * (1.0 + between.max(initial=0.0))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            d = _to_pivots(matrix_of(batch.column("vec")), pivots)
+            d = to_pivots(matrix_of(batch.column("vec")), pivots)
             limit = batch.column("limit").to_numpy(zero_copy_only=False)[:, None]
             home = d.argmin(axis=1)
             nearest = d[np.arange(len(d)), home]
@@ -249,5 +249,5 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 __all__ = [
     "Copies", "Space", "arrow_schema", "build_space", "collapse_copies", "kth_limits", "list_column", "look",
-    "matrix_of", "pair_distances", "per_cell", "restrict", "search",
+    "matrix_of", "pair_distances", "per_cell", "restrict", "search", "to_pivots",
 ]

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ...functions import vectors as v
 from ...operators import dbscan as db
-from ...operators import density, kmeans, metrics, neighbors, profile, reduce
+from ...operators import density, kmeans, metrics, neighbors, reduce
 from ...schema import KEY
 from ...session import cut_lineage
 from ...sources import views
-from .registry import POINTS, POINTS2, RESULTS, query
+from .registry import POINTS, POINTS2, query
 
 
 def _labelled(spark, sf):
