@@ -6,10 +6,10 @@ often it occurred before, so that labelled shingles are unique.  For each of
 text order; two texts agree with a chance that falls with edits and with
 changes of order.  ``ROWS`` sketches make one band.
 
-Texts of a band are compared through leaders: each round draws one leader per
+Texts of a band are compared through leaders: each round has one leader per
 bucket and aligns the others with it; buckets whose members are not yet one
-class draw again, and what is still apart after ``ROUNDS`` is compared pair by
-pair.  Members of one class need no further comparison, so a group of
+class take another, and what is still apart after ``ROUNDS`` is compared pair
+by pair.  Members of one class need no further comparison, so a group of
 thousands of copies costs its size and not its square, and no link between
 classes that meet in a bucket is left out.
 
@@ -33,10 +33,10 @@ from .common import map_batches, slices, spread, stored, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 20
-ROWS = 2
+BANDS = 30
+ROWS = 3
 SKETCHES = BANDS * ROWS
-ROUNDS = 3
+ROUNDS = 2
 #: Shingles sketched at a time in one task; a longer text stands alone.
 AT_ONCE = 400_000
 
@@ -218,19 +218,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, rounds: int =
     sketches = stored(sketch(docs), "sketch")
     groups = sketches.groupBy("content").agg(F.min("doc_id").alias("first"))
     members = sketches.select("doc_id", "content").join(groups, "content").select("doc_id", "first")
-    heads = (sketches.filter("bands is not null and doc_id is not null").join(groups, "content")
-             .filter("doc_id = first").select("doc_id", "shingles", "bands"))
-    buckets = heads.select("doc_id", F.explode("bands").alias("key")).distinct()
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    heads = sketches.filter("bands is not null and doc_id is not null").select("doc_id", "content", "bands").join(
+        groups, "content").filter("doc_id = first")
+    buckets = heads.select("doc_id", "content", F.explode("bands").alias("key"))
+    shared = buckets.groupBy("key").agg(F.count_distinct("doc_id").alias("n")).filter("n > 1")
     buckets = cut_lineage(buckets.join(shared, "key"))
-    sequences = stored(heads.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi")
+    weights = buckets.groupBy("doc_id", "content").agg(F.sum("n").alias("weight"))
+    sequences = stored(sketches.select("doc_id", "content", "shingles").join(weights, ["doc_id", "content"], "left_semi")
                        .select("doc_id", "shingles"), "shingles")
+    buckets = buckets.select("doc_id", "key").distinct().join(
+        weights.groupBy("doc_id").agg(F.sum("weight").alias("weight")), "doc_id")
     # A repeated id may stand in several groups of copies; these belong together from the start.
     several = members.filter("doc_id is not null").groupBy("doc_id").agg(
         F.min("first").alias("lo"), F.max("first").alias("hi")).filter("lo < hi").select("doc_id", "lo")
     links = cut_lineage(members.join(several, "doc_id").filter("lo < first").select(
         F.col("lo").alias("x"), F.col("first").alias("y")))
-    classes = components(links, "x", "y")
+    classes = _classes(links)
     tried = links
     for turn in range(rounds + 1):
         apart = _classed(buckets, classes)
@@ -244,22 +247,35 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, rounds: int =
         found = cut_lineage(aligned(pairs, sequences, threshold))
         if not found.isEmpty():
             links = links.unionByName(found)
-            classes = components(links, "x", "y")
+            classes = _classes(links)
     return members.join(classes.withColumnRenamed("node", "first"), "first", "left").select(
         "doc_id", F.coalesce("component", "first").alias("class_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
 
 
+def _classes(links: DataFrame) -> DataFrame:
+    if links.isEmpty():
+        return links.select(F.col("x").alias("node"), F.col("y").alias("component"))
+    return components(links, "x", "y")
+
+
 def _classed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return buckets.join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", "key", F.coalesce("component", "doc_id").alias("class_id"))
+        "doc_id", "key", "weight", F.coalesce("component", "doc_id").alias("class_id"))
 
 
 def _with_leaders(apart: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with a drawn leader of another class."""
-    draw = F.struct(F.xxhash64(F.lit(turn), "doc_id", "key").alias("draw"), F.col("doc_id").alias("leader"),
-                    F.col("class_id").alias("leader_class"))
-    leaders = apart.groupBy("key").agg(F.min(draw).alias("m")).select("key", "m.leader", "m.leader_class")
+    """Each member of a bucket with its leader, if that is of another class.
+
+    The text that meets most others over all buckets leads: it is the likely
+    source of the copies around it.  In later turns the leader comes from
+    outside the class that led before.
+    """
+    best = F.max(F.struct("weight", (-F.col("doc_id")).alias("order"), F.col("doc_id").alias("leader"), F.col("class_id").alias("leader_class")))
+    leaders = apart.groupBy("key").agg(best.alias("m")).select("key", "m.leader", "m.leader_class")
+    for _ in range(turn):
+        rest = apart.join(leaders, "key").filter("class_id <> leader_class").drop("leader", "leader_class")
+        leaders = rest.groupBy("key").agg(best.alias("m")).select("key", "m.leader", "m.leader_class")
     return apart.join(leaders, "key").filter("class_id <> leader_class").select(
         F.least("leader", "doc_id").alias("x"), F.greatest("leader", "doc_id").alias("y"))
 

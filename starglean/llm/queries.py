@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, omh, records
+import corpus_pipeline
+
+from . import bpe, linetree, omh, pulearn, records, templates
 from .vocabulary import byte_bpe_path
 
 
@@ -23,10 +25,31 @@ def op6_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.record_digest(records.read_records(spark, where, manifest))
 
 
+def op7_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the benchmark items found in them."""
+    return templates.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents")
+    return pulearn.score(docs, pulearn.train(docs, table(spark, folder, "labels")))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of ids and decoded text of every document."""
     return bpe.encoding_digest(table(spark, folder, "documents"), byte_bpe_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_order_minhash, op6_records, op9_bpe)}
-ORACLES: dict[str, str] = {}
+def op10_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the line templates that recur."""
+    return linetree.drop_common_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+OPERATORS = (op1_order_minhash, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates)
+QUERIES = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
+ORACLES: dict[str, str] = {
+    "op10_line_templates": linetree.LINE_SQL.format(docs="documents") + "SELECT doc_id, text, n_lines, n_dropped FROM cleaned",
+}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
