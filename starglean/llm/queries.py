@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, linetree, omh, pulearn, records, templates
+from . import bpe, linetree, multiindex, omh, pulearn, records, templates, urlrules
 from .vocabulary import byte_bpe_path
 
 
@@ -19,6 +19,16 @@ def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return omh.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return urlrules.judge(table(spark, folder, "pages"), urlrules.example_rules(spark))
+
+
+def op4_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return multiindex.links(table(spark, folder, "embeddings"))
+
+
 def op6_records(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of the record files written for all documents, taken from the files."""
     where, manifest = records.write_records(table(spark, folder, "documents"), byte_bpe_path(), end_id=2)
@@ -46,9 +56,11 @@ def op10_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return linetree.drop_common_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
-OPERATORS = (op1_order_minhash, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates)
+OPERATORS = (op1_order_minhash, op2_url_rules, op4_multi_index, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates)
 QUERIES = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {
+    "op2_url_rules": urlrules.URL_SQL,
+    "op4_multi_index": multiindex.LINK_SQL,
     "op10_line_templates": linetree.LINE_SQL.format(docs="documents") + "SELECT doc_id, text, n_lines, n_dropped FROM cleaned",
 }
 if corpus_pipeline.ORACLE_SQL is not None:
