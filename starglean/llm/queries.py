@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, linetree, multiindex, omh, pulearn, records, templates, urlrules
+from . import bpe, linetree, multiindex, omh, pulearn, records, sanitise, templates, urlrules, wrappers
 from .vocabulary import byte_bpe_path
 
 
@@ -24,11 +24,22 @@ def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urlrules.judge(table(spark, folder, "pages"), urlrules.example_rules(spark))
 
 
+def op3_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.main_text(table(spark, folder, "pages"))
+
+
 def op4_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     """Links and component of every vector."""
     return multiindex.links(table(spark, folder, "embeddings"))
 
 
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    return sanitise.personal_data(table(spark, folder, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op6_records(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of the record files written for all documents, taken from the files."""
     where, manifest = records.write_records(table(spark, folder, "documents"), byte_bpe_path(), end_id=2)
@@ -56,7 +67,7 @@ def op10_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return linetree.drop_common_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
-OPERATORS = (op1_order_minhash, op2_url_rules, op4_multi_index, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates)
+OPERATORS = (op1_order_minhash, op2_url_rules, op3_wrappers, op4_multi_index, op5_personal_data, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates)
 QUERIES = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {
     "op2_url_rules": urlrules.URL_SQL,
