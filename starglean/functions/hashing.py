@@ -103,19 +103,21 @@ def hash_coefficients(
 def minhash_signature(
     hashes: Column, num_hashes: int = NUM_HASHES, hash_space: int = HASH_SPACE, seed: int = SIGNATURE_SEED
 ) -> Column:
-    """``min((a_i * x + b_i) mod hash_space)`` for each hash function i over the row's hashes x."""
+    """``min((a_i * x + b_i) mod hash_space)`` for each hash function i over the row's hashes x; null without any."""
     multipliers, offsets = hash_coefficients(num_hashes, hash_space, seed)
     space = np.uint64(hash_space)
 
     @arrow_udf(T.ArrayType(T.LongType()))
     def signature(lists: pa.Array) -> pa.Array:
         x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
-        starts = _offsets(lists).to_numpy()[:-1]
-        mins = np.empty((len(lists), num_hashes), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(multipliers, offsets)):
-            mins[:, i] = np.minimum.reduceat((a * x + b) % space, starts)
-        bounds = pa.array(np.arange(0, mins.size + 1, num_hashes, dtype=np.int32))
-        return pa.ListArray.from_arrays(bounds, pa.array(mins.ravel()))
+        edges = _offsets(lists).to_numpy()
+        full = np.diff(edges) > 0  # a row without hashes has no minimum: its signature is null
+        mins = np.empty((int(full.sum()), num_hashes), dtype=np.int64)
+        if len(mins):
+            for i, (a, b) in enumerate(zip(multipliers, offsets)):
+                mins[:, i] = np.minimum.reduceat((a * x + b) % space, edges[:-1][full])
+        bounds = np.concatenate([[0], np.cumsum(full * num_hashes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(mins.ravel()), mask=pa.array(~full))
 
     return costly(signature)(hashes)
 

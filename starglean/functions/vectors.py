@@ -65,10 +65,13 @@ def literal_vector(values: np.ndarray) -> Column:
 
 
 def matrix_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """An Arrow list column of equal lengths as a 2-D double array."""
+    """An Arrow list column as a 2-D double array; null vectors, null components and unequal lengths raise."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if rows and (column.null_count or (lengths != lengths[0]).any() or column.flatten().null_count):
+        raise ValueError("vectors must be given, of one length and without null components")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import sentiment_category
@@ -29,8 +29,8 @@ def rating_counts(df: DataFrame, cluster: str = "cluster", rating: str = "rating
 
 
 def contingency(df: DataFrame, cluster: str = "cluster", rating: str = "rating", ratings: Sequence = STARS) -> DataFrame:
-    """Wide counts, one column ``r<rating>`` per star, absent combinations 0."""
-    return _widen(rating_counts(df, cluster, rating), "n", ratings, fill=0)
+    """Wide counts, one column ``r<rating>`` per star, absent combinations 0; any other rating raises."""
+    return _widen(_on_scale(rating_counts(df, cluster, rating), ratings), "n", ratings, fill=0)
 
 
 def contingency_share(
@@ -41,7 +41,7 @@ def contingency_share(
 
     Absent combinations are 0, but a rating nobody gave has no share at all (null).
     """
-    counts = rating_counts(df, cluster, rating)
+    counts = _on_scale(rating_counts(df, cluster, rating), ratings)
     total = F.sum("n").over(Window.partitionBy(within))
     shares = counts.withColumn("share", F.col("n") / total * F.lit(scale))
     wide = _widen(shares, "share", ratings, fill=0.0)
@@ -53,14 +53,23 @@ def contingency_share(
     )
 
 
+def _on_scale(counts: DataFrame, ratings: Sequence) -> DataFrame:
+    """``counts`` as they are; a rating without a column of its own raises when it is met."""
+    odd = F.raise_error(F.concat(F.lit("not on the rating scale: "), F.col("rating").cast("string"))).cast("bigint")
+    return counts.withColumn("n", F.when(F.col("rating").isin(list(ratings)), F.col("n")).otherwise(odd))
+
+
 def _widen(counts: DataFrame, value: str, ratings: Sequence, fill: float) -> DataFrame:
     wide = counts.groupBy("cluster").pivot("rating", list(ratings)).agg(F.first(value))
     return wide.select("cluster", *[F.coalesce(F.col(f"`{r}`"), F.lit(fill)).alias(f"r{r}") for r in ratings])
 
 
 def cluster_stats(df: DataFrame, cluster: str = "cluster", rating: str = "rating") -> DataFrame:
-    """Mean and sample standard deviation; the deviation of a single review is null."""
-    return df.groupBy(F.col(cluster).alias("cluster")).agg(
+    """Mean and sample standard deviation; the deviation of a single review is null.
+
+    As in :func:`rating_counts`, rows whose cluster or rating is null or NaN take no part.
+    """
+    return df.na.drop(subset=[cluster, rating]).groupBy(F.col(cluster).alias("cluster")).agg(
         F.avg(rating).alias("mean"), F.stddev_samp(rating).alias("std")
     )
 
@@ -151,20 +160,25 @@ def rating_vs_sentiment(
     pairs = rows.select(
         F.col(cluster).alias("cluster"),
         F.inline(F.array(
-            F.struct(F.col(rating).cast("int").alias("rating"), F.lit(1).alias("by_rating"), F.lit(0).alias("by_sentiment")),
+            F.struct(_whole(rating).alias("rating"), F.lit(1).alias("by_rating"), F.lit(0).alias("by_sentiment")),
             F.struct(sentiment_category(F.col(sentiment)).alias("rating"), F.lit(0).alias("by_rating"), F.lit(1).alias("by_sentiment")),
         )),
     )
     counts = pairs.groupBy("cluster", "rating").agg(
         F.sum("by_rating").alias("count_rating"), F.sum("by_sentiment").alias("count_sentiment")
     )
-    stars = sorted(r[0] for r in df.select(F.col(rating).cast("int")).distinct().limit(101).collect())
-    if len(stars) > 100:
-        raise ValueError("ratings must be a scale of at most 100 values")
+    stars = sorted(r[0] for r in pairs.filter("by_rating = 1 and rating is not null").select("rating").distinct().collect())
     grid = chosen.select(F.col(cluster).alias("cluster"), F.explode(F.array(*map(F.lit, stars))).alias("rating"))
     return grid.join(counts, ["cluster", "rating"], "left").na.fill(0, ["count_rating", "count_sentiment"])
 
 
+def _whole(rating: str) -> Column:
+    """A rating as a whole number of stars; half stars raise instead of being cut."""
+    value = F.col(rating)
+    odd = F.raise_error(F.concat(F.lit("not a whole rating: "), value.cast("string"))).cast("int")
+    return F.when(value.isNull() | F.isnan(value.cast("double")), None).when(value.cast("double") == F.floor(value.cast("double")), value.cast("int")).otherwise(odd)
+
+
 def language_stats(df: DataFrame, lang: str = "lang") -> DataFrame:
     """Count and percent per language; the total is taken over the language counts, not the rows."""
     counts = df.groupBy(F.col(lang).alias("language")).agg(F.count(F.lit(1)).alias("count"))

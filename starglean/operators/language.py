@@ -57,7 +57,7 @@ def profile_counts(df: DataFrame, text: str, lang: str = "lang", features: int =
 
 def train_profiles(df: DataFrame, text: str, lang: str = "lang", features: int = 2000) -> Profiles:
     """Add-one smoothed log-probabilities of the selected trigrams."""
-    languages = sorted(r[0] for r in df.select(lang).filter(F.col(lang).isNotNull()).distinct().limit(1001).collect())
+    languages = sorted(r[0] for r in df.select(lang).filter(F.col(lang).isNotNull()).distinct().collect())
     if len(languages) * features * 8 * max(len(languages), 1) > MODEL_BYTES:
         raise ValueError("too many languages for this many features; lower features")
     rows = profile_counts(df, text, lang, features).collect()

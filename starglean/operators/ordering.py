@@ -9,25 +9,17 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-#: Counted inputs up to this size are numbered by one plain window.
-SMALL_ROWS = 50_000
-
-
 def running_total(
-    df: DataFrame, weight: str, order: Sequence[str], by: Sequence[str] = (), out: str = "running", small: int = SMALL_ROWS
+    df: DataFrame, weight: str, order: Sequence[str], by: Sequence[str] = (), out: str = "running"
 ) -> DataFrame:
     """Inclusive running sum of ``weight`` in ``order``, optionally inside each group of ``by``.
 
-    Large inputs are range-partitioned on ``(by, order)``, so a hot group spans
+    Rows are range-partitioned on ``(by, order)``, so a hot group spans
     many tasks.  Each range then only needs the sums of the ranges before it:
     one row per (range, group), which is at most ranges + groups rows.
     ``order`` must be unique within a group.
     """
     by, order = list(by), list(order)
-    df = cut_lineage(df)
-    if df.count() <= small:
-        whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(weight).over(whole))
     ranges = cut_lineage(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
@@ -43,9 +35,9 @@ def running_total(
     )
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], out: str = "position", small: int = SMALL_ROWS) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
     """1-based position of each row in ``order`` (which must be unique)."""
-    numbered = running_total(df.withColumn("_one", F.lit(1).cast("bigint")), "_one", order, out=out, small=small)
+    numbered = running_total(df.withColumn("_one", F.lit(1).cast("bigint")), "_one", order, out=out)
     return numbered.drop("_one")
 
 
@@ -68,7 +60,7 @@ def slice_rows(df: DataFrame, order: Sequence[str], start: int, stop: int) -> Da
 
 
 def percentiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), small: int = SMALL_ROWS
+    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linearly interpolated percentiles in long form: ``by``, ``probability``, ``value``.
 
@@ -79,7 +71,7 @@ def percentiles(
     """
     by = list(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_value")).count()
-    ranked = cut_lineage(running_total(counts, "count", ["_value"], by, "_upto", small))
+    ranked = cut_lineage(running_total(counts, "count", ["_value"], by, "_upto"))
     sizes = ranked.groupBy(*by).agg(F.max("_upto").alias("_rows"))
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     # Position of each percentile on the 0-based row axis, per group.

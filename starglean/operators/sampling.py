@@ -5,25 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Samples up to this size go through the built-in top-k.
-TOP_K_ROWS = 10_000
-
 
 def sample_order(key: str, seed: int = 42) -> Column:
     """A reproducible pseudo-random order: the md5 of seed and key."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(f"`{key}`").cast("string")).cast("binary"))
 
 
-def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42, top_k_rows: int = TOP_K_ROWS) -> DataFrame:
+def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all, if fewer), the same ones for the same seed.
 
-    A large ``n`` never passes through a top-k in one task: the hash order is cut
+    The sample never passes through a top-k in one task: the hash order is cut
     into 65,536 prefixes, whose counts tell which prefixes are wholly inside the
     sample.  Only the one prefix across the cut is ranked.  ``key`` must be unique.
     """
     order = sample_order(key, seed)
-    if n <= top_k_rows:
-        return df.orderBy(order).limit(n)
     prefixed = df.withColumn("_prefix", F.substring(order, 1, 4))
     taken, cut = 0, None
     for prefix, count in sorted(prefixed.groupBy("_prefix").count().collect()):

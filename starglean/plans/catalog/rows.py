@@ -209,7 +209,7 @@ def _(spark, sf):
   SELECT review_id, item FROM reviews ORDER BY md5('42:' || review_id) LIMIT 150""")
 def _(spark, sf):
     rows = views.reviews(spark, sf).select(KEY, F.col(ITEM).alias("item"))
-    return sampling.sample_exact(rows, 150, KEY, seed=42, top_k_rows=0)
+    return sampling.sample_exact(rows, 150, KEY, seed=42)
 
 
 @query("f5_point_sample", """SELECT vec_id AS review_id, label FROM embeddings ORDER BY md5('7:' || vec_id) LIMIT 100""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,18 +53,31 @@ CLUSTER_SUMMARY = _struct(
 
 
 def as_table(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to ``schema``: names, order and types, tolerant of dirty numbers."""
-    return df.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Project to ``schema``: names, order and types.
+
+    A measure that cannot be cast becomes null; a key that cannot be cast
+    raises, since a null key would silently lose its row in later joins.
+    """
+    def typed(field: T.StructField) -> Column:
+        source = F.col(f"`{field.name}`")
+        value = source.try_cast(field.dataType)
+        if field.name == KEY:
+            lost = source.isNotNull() & value.isNull()
+            value = F.when(lost, F.raise_error(F.concat(F.lit(f"not a {KEY}: "), source.cast("string"))).cast(field.dataType)).otherwise(value)
+        return value.alias(field.name)
+
+    return df.select([typed(f) for f in schema.fields])
 
 
-def with_content_key(df: DataFrame, slots: int = 64) -> DataFrame:
+def with_content_key(df: DataFrame, slots: int | None = None) -> DataFrame:
     """Add a ``review_key`` that depends on row content only: content hash plus copy number.
 
     Numbering the copies inside one group would put a hot group into one task,
-    so copies are spread over ``slots``, numbered per slot, and shifted by the
-    (at most ``slots``) slot sizes before.  The set of keys is the same whatever
+    so copies are spread over ``slots`` (the number of shuffle partitions unless
+    given), numbered per slot, and shifted by the slot sizes before.  The set of keys is the same whatever
     the partitioning.  Mint the key once, persist it, and join on nothing else.
     """
+    slots = slots or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = df.withColumn("_content", F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256))
     slotted = cut_lineage(hashed.withColumn("_slot", F.spark_partition_id() % slots))
     earlier = Window.partitionBy("_content").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

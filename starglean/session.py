@@ -9,8 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when its counted rows are at or below this.
-BROADCAST_ROWS = 100_000
+#: A side is broadcast only when its rows, written out, measure at most this many bytes.
+BROADCAST_BYTES = 8 << 20
+
+_FALLBACK: dict[str, str] = {}
 
 
 def local_session(cpus: str | int = "*", app: str = "starglean") -> SparkSession:
@@ -39,8 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="starglean-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        # The setting cannot be changed in a running session, so the folder is remembered here.
+        path = _FALLBACK.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="starglean-")
+        _FALLBACK[context.applicationId] = path
     if context.getCheckpointDir() is None or not context.getCheckpointDir().startswith(
         (path, f"file:{path}")
     ):
@@ -72,11 +75,12 @@ def spread_rows(scan: DataFrame) -> DataFrame:
     """Use all cores on a scan that has too few splits.
 
     A multi-line CSV file or a Parquet file with one row group is one task,
-    however large.  With at least as many splits as cores (any sizeable folder)
-    nothing happens.  Call it on a scan: counting splits must not run a job.
+    however large.  With splits for more than half of the cores (any sizeable
+    folder) nothing happens: text is not shuffled for a few missing splits.
+    Call it on a scan: counting splits must not run a job.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores and cores > 1 else scan
 
 
 def join_small(
@@ -84,15 +88,17 @@ def join_small(
     small: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi-join with a side that is *usually* small.
 
-    ``small`` is materialised once and counted.  Up to ``max_rows`` it is
-    broadcast, so a hot key in ``left`` never moves; beyond that the join is a
-    plain shuffle join, where adaptive execution splits skewed partitions.
+    ``small`` is materialised once and its rows are measured.  Up to
+    ``max_bytes`` it is broadcast, so a hot key in ``left`` never moves; beyond
+    that the join is a plain shuffle join, where adaptive execution splits
+    skewed partitions.
     """
     small = cut_lineage(small)
-    if small.count() <= max_rows:
+    row = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns])))
+    if (small.agg(F.sum(row + 16)).first()[0] or 0) <= max_bytes:
         small = F.broadcast(small)
     return left.join(small, on, how)

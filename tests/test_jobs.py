@@ -46,7 +46,7 @@ def test_magic_check_sees_damage(spark, tmp_path):
 def test_large_small_side_is_not_broadcast(spark):
     left, right = spark.range(50), spark.range(40).withColumn("x", F.lit(1))
     small = join_small(left, right, "id")
-    large = join_small(left, right, "id", max_rows=10)
+    large = join_small(left, right, "id", max_bytes=10)
     assert small.count() == large.count() == 40
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
