@@ -213,3 +213,10 @@ def test_vector_check(spark):
         reduce.check_vectors(frame(spark, [[1, 2], [3]]))
     with pytest.raises(TypeError):
         reduce.check_vectors(spark.range(1).withColumn("vec", F.lit(1)))
+
+
+def test_density_takes_any_key(spark, cloud):
+    small = density.density_clusters(frame(spark, cloud[:40]), 5, 3)
+    wide = frame(spark, cloud[:40]).withColumn("review_id", F.col("review_id") + F.lit(2**62))
+    large = density.density_clusters(wide, 5, 3)
+    assert sorted((r["review_id"] - 2**62, r["cluster"]) for r in large.collect()) == sorted((r["review_id"], r["cluster"]) for r in small.collect())
