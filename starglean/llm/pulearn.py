@@ -28,8 +28,8 @@ FEATURES = 1 << 20
 STEMS = (4, 5)
 FOLDS = 5
 #: Bounds of the training sample: confirmed toxic texts, unlabelled texts.
-POSITIVES = 8_000
-UNLABELLED = 24_000
+POSITIVES = 6_000
+UNLABELLED = 16_000
 STEPS = 500
 LEAST_Z = 4.0
 RATE = 0.05
@@ -65,9 +65,14 @@ def sample(rows: DataFrame, most: int, total: int) -> DataFrame:
     return rows.limit(most)
 
 
-def pack(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    lists = [np.asarray(r[0], np.int32) for r in rows]
-    return np.concatenate([*lists, np.empty(0, np.int32)]), np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+def pack(lists: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values side by side and the bounds of each list."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    if not len(lists):
+        return np.empty(0, np.int32), np.zeros(1, np.int64)
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    return lists.values.to_numpy()[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
 def margins(flat: np.ndarray, bounds: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
@@ -79,10 +84,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(positive: list, unlabelled: list, prior: float) -> Model:
+def fit(positive: pa.Array | None, unlabelled: pa.Array | None, prior: float) -> Model:
     """Non-negative PU training; without positives or unlabelled texts everything scores 0."""
     none = Model(np.zeros(FEATURES), -30.0, prior)
-    if not positive or not unlabelled or prior <= 0:
+    if positive is None or not len(positive) or not len(unlabelled) or prior <= 0:
         return none
     p_flat, p_bounds = pack(positive)
     u_flat, u_bounds = pack(unlabelled)
@@ -142,12 +147,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.filter(~held_out(F.col("doc_id")))
     rows, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not rows:
-        return fit([], [], 0.0)
+        return fit(None, None, 0.0)
     texts = docs.select("doc_id", "text").filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
     total = texts.count()
     positive = sample(known.filter("toxic = 1").select("doc_id"), POSITIVES, toxic)
-    positive = texts.join(F.broadcast(positive), "doc_id").select(features(F.col("text")).alias("f")).limit(POSITIVES).collect()
-    unlabelled = sample(texts, UNLABELLED, total).select(features(F.col("text")).alias("f")).collect()
+    positive = texts.join(F.broadcast(positive), "doc_id").select(features(F.col("text")).alias("f")).limit(POSITIVES).toArrow().column("f")
+    unlabelled = sample(texts, UNLABELLED, total).select(features(F.col("text")).alias("f")).toArrow().column("f")
     return fit(positive, unlabelled, toxic / rows)
 
 
@@ -164,8 +169,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         weights, bias = shared.value
 
         def work(batch: pa.RecordBatch):
-            lists = batch.column(2)
-            result = sigmoid(margins(lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64), weights, bias))
+            result = sigmoid(margins(*pack(batch.column(2)), weights, bias))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(result), pa.array((result >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])
@@ -181,12 +185,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
-    @F.pandas_udf("double")
-    def toxicity(words_):
-        weights, bias = shared.value
-        flat, bounds = pack([(w,) for w in words_])
-        import pandas as pd
-
-        return pd.Series(sigmoid(margins(flat, bounds, weights, bias)))
+    @F.arrow_udf("double")
+    def toxicity(found: pa.Array) -> pa.Array:
+        return pa.array(sigmoid(margins(*pack(found), *shared.value)))
 
     return docs.filter(toxicity(features(F.col("text"))) < 0.5)
