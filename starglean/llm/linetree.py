@@ -22,7 +22,7 @@ MIN_TOKENS = 3
 LEADING = 3
 AGREE = 0.8
 FIELD = "<*>"
-VARIABLE = "0123456789@"
+VARIABLE = "[0-9@]"
 LINE_END = r"\r?\n"
 
 
@@ -30,23 +30,27 @@ def lines_of(text: Column) -> Column:
     return F.split(text, LINE_END, -1)
 
 
-def parsed_lines(docs: DataFrame, min_tokens: int) -> DataFrame:
-    """``row, doc_id, line_no, tokens`` of each line with enough tokens."""
-    tokens = F.filter(F.split("line", r"[ \t]+"), lambda t: t != "")
-    masked = F.when(
-        F.col("line").rlike("[0-9@]"),
-        F.transform("tokens", lambda t: F.when(F.translate(t, VARIABLE, "") != t, FIELD).otherwise(t)),
-    ).otherwise(F.col("tokens"))
-    lines = docs.filter("text is not null").select(
-        row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id", F.posexplode(lines_of(F.col("text"))).alias("line_no", "line"))
-    return lines.select("*", tokens.alias("tokens")).filter(F.size("tokens") >= min_tokens).select(
-        "row", "doc_id", "line_no", masked.alias("tokens"))
+def masked_line(line: Column) -> Column:
+    """The tokens of a line with single spaces between them, variable fields masked."""
+    spaced = F.array_remove(F.split(F.replace(line, F.lit("\t"), F.lit(" ")), " "), "")
+    masked = F.transform(spaced, lambda t: F.when(t.rlike(VARIABLE), FIELD).otherwise(t))
+    as_is = ~(line.contains("  ") | line.contains("\t") | line.startswith(" ") | line.endswith(" ") | line.rlike(VARIABLE))
+    return F.when(as_is, line).otherwise(F.array_join(masked, " "))
+
 
+def placed_lines(docs: DataFrame, min_tokens: int) -> DataFrame:
+    """``row, doc_id, line_no, line, leaf, body`` of each line with enough tokens.
 
-def placed(lines: DataFrame) -> DataFrame:
-    """``leaf`` and ``body``: names of a line's leaf and of its masked tokens."""
-    return lines.withColumn("leaf", F.md5(F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, LEADING)))) \
-        .withColumn("body", F.md5(F.concat_ws(" ", F.size("tokens").cast("string"), "tokens")))
+    Lines are masked before they become rows, so each is read once: the outer
+    form of ``posexplode`` keeps the optimizer from adding a filter that would
+    mask all lines again.  ``leaf`` names a line's place in the tree, ``body``
+    its masked tokens.
+    """
+    lines = docs.filter("text is not null").select(
+        row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id", F.transform(lines_of(F.col("text")), masked_line).alias("lines"))
+    count = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    return lines.select("row", "doc_id", F.posexplode_outer("lines").alias("line_no", "line")).filter((F.col("line") != "") & (count >= min_tokens)).select(
+        "*", F.xxhash64(count, F.substring_index("line", " ", LEADING)).alias("leaf"), F.md5("line").alias("body"))
 
 
 def leaf_templates(lines: DataFrame, table: DataFrame, min_docs: int, agree: float) -> DataFrame:
@@ -59,21 +63,21 @@ def leaf_templates(lines: DataFrame, table: DataFrame, min_docs: int, agree: flo
     leaves = bodies.groupBy("leaf").agg(F.count(F.lit(1)).alias("bodies"), F.sum("docs").alias("docs")).filter(
         (F.col("bodies") > 1) & (F.col("docs") >= min_docs)).select("leaf")
     leaves = stored(leaves, "leaves")
-    known = lines.join(small_side(leaves, leaves.count(), 64), "leaf", "left_semi") \
-        .groupBy("leaf", "body").agg(F.first("tokens").alias("tokens"))
-    known = stored(known.join(bodies, ["leaf", "body"]), "bodies")
+    known = lines.join(small_side(leaves, leaves.count(), 32), "leaf", "left_semi") \
+        .groupBy("leaf", "body").agg(F.first("line").alias("line"))
+    known = stored(known.join(bodies, ["leaf", "body"]).select("leaf", "body", "docs", F.split("line", " ").alias("tokens")), "bodies")
     votes = known.select("leaf", "docs", F.posexplode("tokens").alias("pos", "token")) \
         .groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("docs")) \
         .groupBy("leaf", "pos").agg(F.max(F.struct("docs", "token")).alias("top"))
     heads = votes.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("pos", "top.token"))).alias("head"))
     same = F.zip_with("tokens", "head.token", lambda a, b: F.when(a == b, 1).otherwise(0))
     share = F.aggregate(same, F.lit(0), lambda acc, x: acc + x) / F.size("tokens")
-    return known.join(heads, "leaf").filter(share >= agree).select("body", F.col("leaf").alias("template"))
+    return known.join(heads, "leaf").filter(share >= agree).select("body", F.col("leaf").cast("string").alias("template"))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, agree: float = AGREE) -> DataFrame:
     """``row, dropped array<int>``: the line numbers that go, per distinct ``doc_id`` and text."""
-    lines = placed(parsed_lines(spread(docs.select("doc_id", "text")), min_tokens))
+    lines = placed_lines(spread(docs.select("doc_id", "text")), min_tokens)
     table = stored(lines.select("row", "doc_id", "line_no", "leaf", "body"), "lines")
     general = leaf_templates(lines, table, min_docs, agree)
     named = table.select("row", "doc_id", "line_no", "body").join(general, "body", "left").select(
