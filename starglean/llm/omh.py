@@ -7,11 +7,11 @@ text order; two texts agree with a chance that falls with edits and with
 changes of order.  ``ROWS`` sketches make one band.
 
 Texts of a band are compared through leaders: each round has one leader per
-bucket and aligns the others with it; buckets whose members are not yet one
-class take another, and what is still apart after ``ROUNDS`` is compared pair
-by pair.  Members of one class need no further comparison, so a group of
-thousands of copies costs its size and not its square, and no link between
-classes that meet in a bucket is left out.
+bucket and aligns the others with it.  Texts of buckets that are not one class
+after ``ROUNDS`` are compared block by block inside their tasks.  Members of
+one class need no further comparison, so a group of thousands of copies costs
+its size and not its square, and no link between classes that meet in a bucket
+is left out.
 
 The alignment is the longest common subsequence of labelled shingles in the
 diagonal band that a similarity of ``THRESHOLD`` leaves possible; with ``c``
@@ -36,7 +36,10 @@ THRESHOLD = 0.8
 BANDS = 30
 ROWS = 3
 SKETCHES = BANDS * ROWS
-ROUNDS = 2
+ROUNDS = 1
+#: Texts of one block, and columns of one matrix product, where classes of a family are compared.
+BLOCK = 512
+COLUMNS = 4096
 #: Shingles sketched at a time in one task; a longer text stands alone.
 AT_ONCE = 400_000
 
@@ -237,14 +240,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, rounds: int =
     tried = links
     for turn in range(rounds + 1):
         apart = _classed(buckets, classes)
-        mixed = apart.groupBy("key").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).filter("lo < hi")
-        apart = cut_lineage(apart.join(mixed.select("key"), "key"))
-        pairs = (_with_leaders(apart, turn) if turn < rounds else _across(apart)).distinct()
-        pairs = cut_lineage(pairs.join(tried, ["x", "y"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        tried = tried.unionByName(pairs)
-        found = cut_lineage(aligned(pairs, sequences, threshold))
+        mixed = apart.groupBy("key").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"), F.min("doc_id").alias("least")).filter("lo < hi")
+        apart = cut_lineage(apart.join(mixed.select("key", "least"), "key"))
+        if apart.isEmpty():
+            break
+        if turn < rounds:
+            pairs = _with_leaders(apart, turn).distinct().join(tried, ["x", "y"], "left_anti")
+            pairs = cut_lineage(pairs)
+            tried = tried.unionByName(pairs)
+            found = cut_lineage(aligned(pairs, sequences, threshold))
+        else:
+            found = cut_lineage(_within_families(apart, sequences, threshold))
         if not found.isEmpty():
             links = links.unionByName(found)
             classes = _classes(links)
@@ -280,10 +286,65 @@ def _with_leaders(apart: DataFrame, turn: int) -> DataFrame:
         F.least("leader", "doc_id").alias("x"), F.greatest("leader", "doc_id").alias("y"))
 
 
-def _across(apart: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose classes still differ."""
-    other = apart.select("key", F.col("doc_id").alias("y"), F.col("class_id").alias("other"))
-    return apart.join(other, "key").filter("doc_id < y and class_id <> other").select(F.col("doc_id").alias("x"), "y")
+def _within_families(apart: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
+    """Links between classes among texts that buckets connect.
+
+    Texts connected through buckets form a family.  A family is cut into blocks,
+    and one task compares one block with one other: shared shingles of all pairs
+    are counted by matrix products, pairs of two classes that share enough are
+    aligned.  A task returns links that join its classes, never pairs.
+    """
+    families = components(apart.filter("doc_id <> least").select("least", "doc_id"), "least", "doc_id").withColumnRenamed("node", "doc_id")
+    texts = apart.select("doc_id", "class_id").distinct().join(families, "doc_id")
+    sizes = texts.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    texts = texts.join(sizes, "component").join(sequences, "doc_id").withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    placed = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "class_id", "shingles")
+
+    def run(key, table):
+        ids, classes = table.column("doc_id").to_numpy(), table.column("class_id").to_numpy()
+        rows = [first_of_each(np.frombuffer(b, np.uint32)) for b in table.column("shingles").to_pylist()]
+        x, y = joining_pairs(rows, classes, threshold)
+        return pa.table({"x": pa.array(np.minimum(ids[x], ids[y])), "y": pa.array(np.maximum(ids[x], ids[y]))})
+
+    return placed.groupBy("component", "i", "j").applyInArrow(run, "x bigint, y bigint").distinct()
+
+
+def joining_pairs(rows: list[np.ndarray], classes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Similar pairs of ``rows`` that join their classes to what similarity makes of them."""
+    count = len(rows)
+    sizes = np.array([len(r) for r in rows], np.float64)
+    owner = np.repeat(np.arange(count), sizes.astype(np.int64))
+    values, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    useful = times[column] > 1
+    owner, column = owner[useful], column[useful]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((count, count), np.float32)
+    at = 0
+    while at < len(column):  # columns in slices, so that long texts cost time and not memory
+        stop = int(np.searchsorted(column, column[at] + COLUMNS))
+        names, local = np.unique(column[at:stop], return_inverse=True)
+        held = np.zeros((count, len(names)), np.float32)
+        held[owner[at:stop], local] = 1
+        shared += held @ held.T
+        at = stop
+    enough = shared >= threshold / (1 + threshold) * (sizes[:, None] + sizes[None, :]) - 1e-3
+    x, y = np.nonzero(np.triu(enough & (classes[:, None] != classes[None, :]), 1))
+    parent = {c: c for c in classes.tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    kept: list[int] = []
+    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+        a, b = root(int(classes[i])), root(int(classes[j]))
+        if a != b and similarity(rows[i], rows[j], threshold) > 0:
+            parent[max(a, b)] = min(a, b)
+            kept.append(k)
+    return x[kept], y[kept]
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
