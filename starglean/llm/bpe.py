@@ -28,6 +28,7 @@ from .common import map_batches, spread, texts_of
 
 # White space, and the word pattern of byte-level tokenizers.
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+SPACES = tuple(chr(c) for c in range(0x3001) if regex.fullmatch(f"[{SPACE}]", chr(c)))
 WORD = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     + f"| ?[^{SPACE}\\p{{L}}\\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -35,8 +36,8 @@ WORD = (
 # Byte ranges that stand for themselves; the other bytes follow from 256 on.
 PRINTABLE = ((33, 126), (161, 172), (174, 255))
 
-#: Pieces remembered by one Python worker; beyond it the memory starts anew, which changes no result.
-REMEMBERED = 600_000
+#: Entries that one memory of a Python worker holds, half of them young; which are held changes no result.
+REMEMBERED = 400_000
 START = -1
 NEVER = 1 << 60
 
@@ -150,8 +151,30 @@ class Automaton:
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", "replace")
 
 
-class Pieces(dict):
-    """Ids of pieces that a single space parts, made on first use.
+class Remembered(dict):
+    """Results of ``make``, kept while they are in use.
+
+    When the young half is full it becomes the old half; what is asked for
+    again moves back, the rest is forgotten at the next change.
+    """
+
+    def __init__(self, make: Callable) -> None:
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str):
+        value = self.old.pop(key, self)
+        if value is self:
+            value = self.make(key)
+        if len(self) >= REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class Pieces:
+    """Ids of a text by its pieces, each made on first use.
 
     A text is cut before each single space.  White space joins the word after
     it only as one space, so words do not cross these cuts unless white space
@@ -159,25 +182,22 @@ class Pieces(dict):
     their texts are encoded without cuts.
     """
 
-    def __init__(self, encode: Callable[[str], tuple[int, ...]], special: list[str]) -> None:
-        super().__init__()
-        self.encode = encode
-        self.odd = regex.compile("|".join([f"[{SPACE}]", "$", *map(regex.escape, special)]))
+    def __init__(self, encode: Callable[[str], tuple[int, ...] | bytes], special: list[str]) -> None:
+        odd = (*SPACES, *special)
 
-    def __missing__(self, piece: str) -> tuple[int, ...] | None:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[piece] = None if self.odd.match(piece) else self.encode(" " + piece)
-        return ids
+        def make(piece: str):
+            return encode(" " + piece) if piece and not piece.startswith(odd) else None
 
-    def of(self, text: str, whole: Callable[[str], list[int]]) -> list[int]:
-        """Ids of ``text``; ``whole`` encodes without cuts."""
+        self.encode = encode
+        self.known = Remembered(make)
+
+    def of(self, text: str) -> list:
+        """What the pieces of ``text`` map to; a None among them means that it cannot be cut."""
         first, *rest = text.split(" ")
-        parts = list(map(self.__getitem__, rest))
-        if None in parts:
-            return whole(text)
-        head = self.encode(first) if first else ()
-        return list(chain(head, *parts))
+        parts = list(map(self.known.__getitem__, rest))
+        if first:
+            parts.insert(0, self.encode(first))
+        return parts
 
 
 class Encoder:
@@ -188,23 +208,15 @@ class Encoder:
         self.word = regex.compile(WORD)
         special = sorted(self.automaton.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words = Remembered(lambda word: self.automaton.encode_word(word.encode("utf-8")))
         self.pieces = Pieces(lambda piece: tuple(self.whole(piece)), special)
 
-    def one(self, word: str) -> tuple[int, ...]:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = self.words[word] = self.automaton.encode_word(word.encode("utf-8"))
-        return ids
-
     def plain(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.one, self.word.findall(text))))
+        return list(chain.from_iterable(map(self.words.__getitem__, self.word.findall(text))))
 
     def whole(self, text: str) -> list[int]:
         """Special tokens first, then words, then the automaton."""
-        if self.special is None:
+        if self.special is None or not self.special.search(text):
             return self.plain(text)
         ids, at = [], 0
         for match in self.special.finditer(text):
@@ -214,7 +226,11 @@ class Encoder:
         return ids + self.plain(text[at:])
 
     def encode(self, text: str) -> list[int]:
-        return self.pieces.of(text, self.whole)
+        parts = self.pieces.of(text)
+        try:
+            return list(chain.from_iterable(parts))
+        except TypeError:  # a None among the parts
+            return self.whole(text)
 
     def decode(self, ids: list[int]) -> str:
         return self.automaton.decode(ids)

@@ -16,24 +16,27 @@ visit frames in any order.  Ids take 2 bytes where the vocabulary allows, else 4
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .bpe import Pieces, read_vocabulary
+from .bpe import WORD, Pieces, Remembered, byte_names, read_vocabulary
 from .common import map_batches, texts_of
 
 # Fixed value: the constant of masked checksums in length-delimited record files.
 MASK_DELTA = 0xA282EAD8
 #: A task starts a new shard once the present one has this many bytes.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<qBB")
 CHECK = struct.Struct("<I")
@@ -64,7 +67,13 @@ def read_frame(data: bytes, at: int) -> tuple[int | None, np.ndarray, int]:
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library; pieces met before are not encoded again."""
+    """Ids by the tokenizers library; pieces and words met before are not encoded again.
+
+    Ids are kept as 32-bit integers side by side, the least that a remembered
+    piece can take.  With a byte-level pre-tokenizer and no normalizer, a new
+    piece is cut into words and the library's model encodes each new word;
+    other tokenizers, and pieces with a special token, encode pieces as a whole.
+    """
 
     def __init__(self, file: bytes) -> None:
         from tokenizers import Tokenizer
@@ -73,14 +82,40 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(lambda piece: tuple(self.whole(piece)), sorted(added, key=len, reverse=True))
+        self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
+        before = json.loads(file).get("pre_tokenizer") or {}
+        self.by_words = self.tokenizer.normalizer is None and before.get("type") == "ByteLevel" \
+            and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+        self.names = {b: name for name, b in byte_names().items()}
+        self.word = regex.compile(WORD)
+        self.model = self.tokenizer.model
+        self.words = Remembered(self.one)
+        self.pieces = Pieces(self.piece, added)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def one(self, word: str) -> bytes:
+        spelled = word.encode("utf-8").decode("latin-1").translate(self.names)
+        return self.packed([t.id for t in self.model.tokenize(spelled)])
+
+    def piece(self, piece: str) -> bytes:
+        if not self.by_words or (self.special and self.special.search(piece)):
+            return self.whole(piece)
+        return b"".join(map(self.words.__getitem__, self.word.findall(piece)))
 
-    def encode(self, text: str) -> list[int]:
-        return self.pieces.of(text, self.whole)
+    def encode(self, text: str) -> np.ndarray:
+        parts = self.pieces.of(text)
+        try:
+            ids = b"".join(parts)
+        except TypeError:  # a None among the parts
+            ids = self.whole(text)
+        return np.frombuffer(ids, np.uint32)
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -163,7 +198,7 @@ def write_records(docs: DataFrame, path: str, end_id: int, folder: str | None =
         rows: list[tuple] = []
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                ids = np.array([*encoder.encode(text), end_id], np.uint32)
+                ids = np.append(encoder.encode(text), np.uint32(end_id))
                 rows += writer.add(doc_id, ids, encoder.width if end_id < 1 << 16 else 4)
         if writer.offsets:
             rows.append(writer.close())
@@ -172,7 +207,7 @@ def write_records(docs: DataFrame, path: str, end_id: int, folder: str | None =
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
                 ["part", "shard", "name", "records", "tokens"])
 
-    # One row per 32 MB of output: the running total over shards is taken by the driver.
+    # One row per 8 MB of output: the running total over shards is taken by the driver.
     shards = sorted(map(tuple, ranged.mapInArrow(run, MANIFEST).collect()))
     start, listed = 0, []
     for row in shards:
