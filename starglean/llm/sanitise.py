@@ -162,7 +162,7 @@ def disclosing(scanned: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= SUPPORT)
     pairs = stored(pairs, "pairs")
     candidates = stored(pairs.select(F.col("term").alias("word")).distinct(), "terms")
-    found = docs.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    found = docs.select(F.explode_outer(F.array_distinct(words(F.col("text")))).alias("word"))  # outer: the words are worked out once
     rows = candidates.count()
     if rows * 64 <= 16 << 20:
         counts = found.join(small_side(candidates, rows, 64), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("with_term"))

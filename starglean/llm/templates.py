@@ -69,8 +69,8 @@ def windows(table: DataFrame, key: str) -> DataFrame:
         F.zip_with(F.slice("kinds", p, WINDOW), F.slice("plain", p, WINDOW), lambda k, v: F.when(k.isNotNull(), F.concat(k, v))).alias("slots")))
     has_slots = F.exists("kinds", lambda k: k.isNotNull())
     found = F.when(has_slots, F.concat(literal, template)).otherwise(literal)
-    return base.select(key, (F.size("plain") - F.lit(WINDOW - 1)).alias("n"), F.explode(found).alias("w")).select(
-        key, "n", "w.pos", "w.form", "w.window", "w.slots")
+    return base.select(key, (F.size("plain") - F.lit(WINDOW - 1)).alias("n"), found.alias("all")).select(
+        key, "n", F.inline_outer("all"))  # the inner form would work out all windows once more to test for none
 
 
 def hashed(column: str) -> Column:
