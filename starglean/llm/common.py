@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -41,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -86,7 +86,3 @@ def slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(lengths):
         yield start, len(lengths)
-
-
-def empty_like(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
