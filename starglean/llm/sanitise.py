@@ -1,12 +1,13 @@
 """Personal data, and terms that disclose it, by information-theoretic sanitisation.
 
 Patterns find the protected entities.  The corpus then tells what else gives
-them away: a term near an entity ``e`` discloses it as far as it lowers its
-surprise, measured as ``PMI(e, t) / IC(e)`` from document counts over the whole
-collection (1: whoever reads ``t`` can be sure of ``e``).  Terms that reach
-``GENERALISE`` are replaced by a general word, those that reach ``REMOVE`` are
-taken out.  A term must stand near the entity in ``SUPPORT`` different texts at
-least; one text alone is no evidence of co-occurrence.
+them away: a term in the documents of an entity ``e`` discloses it as far as it
+lowers its surprise, measured as ``PMI(e, t) / IC(e)`` from document counts over
+the whole collection (1: whoever reads ``t`` can be sure of ``e``).  Terms that
+reach ``GENERALISE`` are replaced by a general word, those that reach ``REMOVE``
+are taken out, at every place in every document that holds the entity.  A term
+must stand with the entity in ``SUPPORT`` different texts at least; one text
+alone is no evidence of co-occurrence.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from pyspark.sql import functions as F
 from .common import map_batches, small_side, spread, stored, words
 
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR = 8
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
+#: Lower-case words below this many letters are no terms; short names, numbers and words of other scripts are.
 LEAST_LETTERS = 3
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -79,30 +80,28 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans)
 
 
-def contexts(text: str, spans: list[Span]) -> tuple[dict[str, set[str]], dict[str, list[tuple[int, int]]]]:
-    """Terms near each entity of ``text``, and where those terms stand in all of it."""
+def entity_name(kind: int, value: str) -> str:
+    """One name for all ways to write an entity."""
+    if kind == 0:
+        return f"{KINDS[kind]}:{value.lower()}"
+    if kind == 1:
+        return f"{KINDS[kind]}:{'.'.join(n.lstrip('0') or '0' for n in value.split('.'))}"
+    return f"{KINDS[kind]}:{''.join(DIGIT.findall(value))}"
+
+
+def contexts(text: str, spans: list[Span]) -> tuple[set[str], dict[str, list[tuple[int, int]]]]:
+    """The entities of ``text``, and where its other terms stand."""
     covered = iter(sorted((a, b) for a, _, b in spans))
-    places: list[tuple[int, int, str]] = []
+    where: dict[str, list[tuple[int, int]]] = {}
     inside = next(covered, None)
     for m in TERM.finditer(text):
         while inside and inside[1] <= m.start():
             inside = next(covered, None)
-        if not (inside and inside[0] < m.end()):
-            places.append((m.start(), m.end(), m[0].lower()))
-    starts = [p[0] for p in places]
-    from bisect import bisect_left
-
-    near: dict[str, set[str]] = {}
-    for a, kind, b in spans:
-        at = bisect_left(starts, a)
-        terms = {p[2] for p in places[max(0, at - NEAR) : at + NEAR] if p[1] - p[0] >= LEAST_LETTERS}
-        near.setdefault(f"{KINDS[kind]}:{text[a:b].lower()}", set()).update(terms)
-    wanted = set().union(*near.values()) if near else set()
-    where: dict[str, list[tuple[int, int]]] = {}
-    for a, b, term in places:
-        if term in wanted:
-            where.setdefault(term, []).append((a, b))
-    return near, where
+        if inside and inside[0] < m.end():
+            continue
+        if m.end() - m.start() >= LEAST_LETTERS or not m[0].islower():
+            where.setdefault(m[0].lower(), []).append((m.start(), m.end()))
+    return {entity_name(kind, text[a:b]) for a, kind, b in spans}, where
 
 
 def shown(spans: list[Span]) -> str:
@@ -112,7 +111,7 @@ def shown(spans: list[Span]) -> str:
 SPAN = "struct<start:int, kind:int, stop:int>"
 SCAN = (
     f"doc_id bigint, digest string, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, base array<{SPAN}>, "
-    f"near array<struct<entity:string, term:string>>, places array<struct<term:string, spans:array<{SPAN}>>>"
+    f"entities array<string>, places array<struct<term:string, spans:array<{SPAN}>>>"
 )
 
 
@@ -126,13 +125,13 @@ def scan(docs: DataFrame) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 spans = base_spans(text)
-                near, where = contexts(text, spans) if spans else ({}, {})
+                entities, where = contexts(text, spans) if spans else (set(), {})
                 for kind, name in enumerate(("n_email", "n_ip", "n_card", "n_phone")):
                     rows[name].append(sum(s[1] == kind for s in spans))
                 rows["base_sha256"].append(hashlib.sha256(shown(spans).encode()).hexdigest())
                 rows["digest"].append(hashlib.md5(text.encode()).hexdigest() if spans else None)
                 rows["base"].append([{"start": a, "kind": k, "stop": b} for a, k, b in spans])
-                rows["near"].append([{"entity": e, "term": t} for e in sorted(near) for t in sorted(near[e])])
+                rows["entities"].append(sorted(entities))
                 rows["places"].append([{"term": t, "spans": [{"start": a, "kind": 4, "stop": b} for a, b in where[t]]} for t in sorted(where)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(rows[name], kind_of[name]) for name in rows)], ["doc_id", *rows])
@@ -153,12 +152,18 @@ def disclosing(scanned: DataFrame, docs: DataFrame) -> DataFrame:
     """``entity, term, disclosure``: the terms that give an entity away.
 
     Documents are counted over the whole table: those with the entity, those
-    with the term anywhere, those with the term near the entity.
+    with the term anywhere, those with both.  Copies of one text meet first, so
+    that each text is looked at once.
     """
-    held = scanned.filter(F.size("near") > 0).select("row", "digest", F.explode("near").alias("n")).select("row", "digest", "n.entity", "n.term")
-    entities = scanned.filter(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda n: n.entity))).alias("entity")) \
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    pairs = held.groupBy("entity", "term", "digest").agg(F.count(F.lit(1)).alias("n")) \
+    held = scanned.filter(F.size("entities") > 0)
+    texts = held.groupBy("digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n")).select("row", "n")
+    each = stored(held.select("row", "entities").join(texts, "row"), "texts")
+    entities = each.select("n", F.explode("entities").alias("entity")).groupBy("entity").agg(
+        F.sum("n").alias("with_entity"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= SUPPORT).drop("texts")
+    entities = stored(entities, "entities")
+    named = each.select("row", "n", F.explode("entities").alias("entity")).join(small_side(entities, entities.count(), 128), "entity", "left_semi")
+    pairs = held.select("row", F.transform("places", lambda p: p.term).alias("terms")).join(named, "row") \
+        .select("entity", "n", F.explode("terms").alias("term")) \
         .groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= SUPPORT)
     pairs = stored(pairs, "pairs")
     candidates = stored(pairs.select(F.col("term").alias("word")).distinct(), "terms")
@@ -185,9 +190,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     no rows.  Positions count code points, ends are exclusive.
     """
     scanned = stored(scan(docs).withColumn("row", F.monotonically_increasing_id()), "scan")  # numbered once, then read
-    given_away = disclosing(scanned, docs)
-    held = scanned.filter(F.size("near") > 0).select("row", F.explode("near").alias("n")).select("row", "n.entity", "n.term")
-    told = held.join(given_away, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+    given_away = stored(disclosing(scanned, docs), "disclosing")
+    told = scanned.filter(F.size("entities") > 0).select("row", "entities", F.explode(F.transform("places", lambda p: p.term)).alias("term")) \
+        .select("row", "term", F.explode("entities").alias("entity")).join(small_side(given_away, given_away.count(), 128), ["entity", "term"]) \
+        .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
     places = scanned.filter(F.size("places") > 0).select("row", F.explode("places").alias("p")).select("row", "p.term", "p.spans")
     added = told.join(places, ["row", "term"]).groupBy("row").agg(F.flatten(F.collect_list(F.transform(
         "spans", lambda s: F.struct(s.start.alias("start"), s.kind.alias("kind"), s.stop.alias("stop"), (F.col("disclosure") >= REMOVE).alias("removed"))))).alias("terms"))

@@ -66,6 +66,20 @@ def test_terms_by_document_counts(spark):
     assert "[email]" in clean[100] and "zebulon" not in clean[100] and clean[201] is None and clean[5] == rows[5][1]
 
 
+def test_terms_far_from_their_entity(spark):
+    far = " ".join(f"padding{k}" for k in range(12))
+    rows = [(i, f"filler words here number {i} and {far}") for i in range(40)]
+    rows += [(100, f"call +49 (30) 1234567 {far} then ask for Zebulon"), (101, f"Zebulon can be had {far} under +49-30-1234567 and Zebulon is Bo"),
+             (102, f"Bo left 010.1.2.3 {far} {far} with quaggas"), (103, f"quaggas {far} Bo at 10.1.2.3"), (104, "zebulon and quaggas alone")]
+    got = {r.doc_id: r.spans for r in sanitise.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for (i, text), terms in zip(rows[40:44], (["Zebulon"], ["Zebulon"], ["quaggas", "Bo"], ["quaggas", "Bo"])):
+        for term in terms:
+            for m in re.finditer(rf"\b{term}\b", text):
+                assert f"term:{m.start()}:{m.end()}" in got[i].split(","), (i, term)
+        assert not any(f"term:{m.start()}:" in got[i] for m in re.finditer(r"padding\d+", text))
+    assert got[104] == "" and "term" not in got[5]
+
+
 def test_documents_whole(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
