@@ -154,11 +154,15 @@ def find_cuts(rows: DataFrame, keys: int, shards: int, pieces: int, tolerance: f
         spans, search.open = search.open, []
         fan = max(16, PROBES // len(spans))
         lines = []
-        for i, s in enumerate(spans):
+        for s in spans:
             at = s.depth
-            lines.append(f"({i}, {at}, {s.low[at]}L, {-(-(s.high[at] - s.low[at] + 1) // fan)}L)")
-        probes = F.broadcast(inline_table(rows.sparkSession, lines, "span, depth, least, width"))
-        binned = left.join(probes, "span").select("key", "size", "span", F.expr("(element_at(key, depth + 1) - least) div width").alias("bin"))
+            lines.append((at, s.low[at], -(-(s.high[at] - s.low[at] + 1) // fan)))
+        if len(spans) == 1:
+            depth, least, width = lines[0]
+            binned = left.select("key", "size", F.lit(0).alias("span"), F.expr(f"(key[{depth}] - {least}L) div {width}L").alias("bin"))
+        else:
+            probes = F.broadcast(inline_table(rows.sparkSession, [f"({i}, {d}, {low}L, {w}L)" for i, (d, low, w) in enumerate(lines)], "span, depth, least, width"))
+            binned = left.join(probes, "span").select("key", "size", "span", F.expr("(element_at(key, depth + 1) - least) div width").alias("bin"))
         counted = binned.groupBy("span", "bin").agg(*_held(keys)).collect()
         by_span: dict[int, list] = {}
         for row in sorted(counted, key=lambda r: (r["span"], r["bin"])):
