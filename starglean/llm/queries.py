@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, freqtrie, histosort, linetree, multiindex, omh, pulearn, records, sanitise, templates, urlrules, wrappers
+from . import bpe, collocations, freqtrie, histosort, linetree, multiindex, omh, pulearn, records, sanitise, templates, urlrules, wrappers
 from .vocabulary import byte_bpe_path
 
 
@@ -77,13 +77,19 @@ def op12_spelling_trie(spark: SparkSession, folder: str) -> DataFrame:
     return freqtrie.spelling_variants(table(spark, folder, "documents"))
 
 
-OPERATORS = (op1_order_minhash, op2_url_rules, op3_wrappers, op4_multi_index, op5_personal_data, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates, op11_histogram_sort, op12_spelling_trie)
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+OPERATORS = (op1_order_minhash, op2_url_rules, op3_wrappers, op4_multi_index, op5_personal_data, op6_records, op7_templates, op8_toxicity, op9_bpe, op10_line_templates, op11_histogram_sort, op12_spelling_trie, op13_collocations)
 QUERIES = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {
     "op2_url_rules": urlrules.URL_SQL,
     "op4_multi_index": multiindex.LINK_SQL,
     "op11_histogram_sort": histosort.SHARD_SQL,
     "op12_spelling_trie": freqtrie.VARIANT_SQL,
+    "op13_collocations": collocations.PHRASE_SQL,
     "op10_line_templates": linetree.LINE_SQL.format(docs="documents") + "SELECT doc_id, text, n_lines, n_dropped FROM cleaned",
 }
 if corpus_pipeline.ORACLE_SQL is not None:

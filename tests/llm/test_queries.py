@@ -14,4 +14,4 @@ def test_matches_sql(name, spark, sf):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 13)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
