@@ -24,11 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, spread, stored, texts_of
+from .common import map_batches, slices, spread, stored, texts_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters that part pieces, and those that part words.
@@ -40,8 +41,8 @@ TOP = 2000
 SCALE = 2_000_000
 #: A longer phrase swallows a shorter one from this share of its count on, in percent.
 SWALLOW = 80
-#: Word numbers remembered per task, and tokens handled at once.
-REMEMBERED, TOKENS = 1 << 20, 1 << 21
+#: Words remembered per task, and letters and tokens handled at once.
+REMEMBERED, LETTERS, TOKENS = 1 << 18, 1 << 23, 1 << 21
 #: Bits of a Bloom filter per member, and at most.
 MEMBER_BITS, MOST_BITS = 16, 1 << 26
 BREAK, NOTHING = 0, 1
@@ -51,16 +52,19 @@ CODED = "tokens array<bigint>, lang string, code bigint, word string, n bigint"
 
 
 class Coder(dict):
-    """Number of each word of one language; breaks and empty strings have their own."""
+    """Place of each word of one language in its lists of words and numbers; breaks and empty strings come first."""
 
     def __init__(self, lang: str, seed: int):
-        super().__init__({b"\n": BREAK, b"": NOTHING})
+        super().__init__({b"\n": 0, b"": 1})
         self.start, self.seed = lang.encode() + b"\0", seed
+        self.words, self.numbers = [b"\n", b""], [BREAK, NOTHING]
 
     def __missing__(self, word: bytes) -> int:
         number = xxhash.xxh64_intdigest(self.start + word, self.seed) | 2
-        self[word] = number = number - (1 << 64) if number >= 1 << 63 else number
-        return number
+        self.words.append(word)
+        self.numbers.append(number - (1 << 64) if number >= 1 << 63 else number)
+        self[word] = place = len(self)
+        return place
 
 
 def coded_corpus(docs: DataFrame, seed: int) -> DataFrame:
@@ -69,28 +73,33 @@ def coded_corpus(docs: DataFrame, seed: int) -> DataFrame:
     def code():
         coders: dict[str, Coder] = {}
 
-        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        def some(langs: list[str | None], texts: list[str]) -> Iterator[pa.RecordBatch]:
             by_lang: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
+            for lang, text in zip(langs, texts):
                 lang = NO_LANGUAGE if lang is None else lang
                 coder = coders.get(lang)
-                if coder is None or len(coder) > REMEMBERED:
+                if coder is None:
                     coder = coders[lang] = Coder(lang, seed)
                 words = text.encode().translate(_BYTES).replace(b"\n", b" \n ").split(b" ")
                 words.append(b"\n")
-                tokens = np.fromiter(map(coder.__getitem__, words), np.int64, len(words))
-                by_lang.setdefault(lang, []).append(tokens[tokens != NOTHING])
-            for lang, some in by_lang.items():
-                rows = len(some)
-                yield _coded(tokens=pa.array(some, pa.list_(pa.int64())), rows=rows)
-                codes, counts = np.unique(np.concatenate(some), return_counts=True)
-                kept = codes != BREAK
-                names = {number: word for word, number in coders[lang].items()}
-                words = [names[c].decode() if c in names else None for c in codes[kept].tolist()]
-                yield _coded(lang=pa.array([lang] * len(words), pa.string()), code=pa.array(codes[kept]), word=pa.array(words, pa.string()),
-                             n=pa.array(counts[kept]), rows=len(words))
+                by_lang.setdefault(lang, []).append(np.fromiter(map(coder.__getitem__, words), np.int64, len(words)))
+            for lang, rows in by_lang.items():
+                coder = coders[lang]
+                numbers = np.array(coder.numbers, np.int64)
+                yield _coded(tokens=pa.array([numbers[r[r != 1]] for r in rows], pa.list_(pa.int64())), rows=len(rows))
+                counts = np.bincount(np.concatenate(rows), minlength=len(numbers))
+                counts[:2] = 0
+                seen = np.flatnonzero(counts)
+                words = pa.array([coder.words[i].decode() for i in seen.tolist()], pa.string())
+                yield _coded(lang=pa.array([lang] * len(seen), pa.string()), code=pa.array(numbers[seen]), word=words, n=pa.array(counts[seen]), rows=len(seen))
             if sum(map(len, coders.values())) > REMEMBERED:
                 coders.clear()
+
+        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            lengths = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
+            for start, stop in slices(lengths, LETTERS):
+                part = batch.slice(start, stop - start)
+                yield from some(part.column("lang").to_pylist(), texts_of(part.column("text")))
         return work
 
     return map_batches(spread(docs.select("lang", "text")), code, CODED)
@@ -194,10 +203,9 @@ def read_corpus(docs: DataFrame, least: int) -> Corpus:
     seed = 0
     while True:
         coded = stored(coded_corpus(docs, seed), "coded")
-        listed = coded.filter("code is not null").groupBy("code").agg(
-            F.min("lang").alias("lang"), F.min("word").alias("word"), F.max(F.struct("lang", "word")).alias("other"), F.min(F.struct("lang", "word")).alias("one"), F.sum("n").alias("f"))
+        listed = coded.filter("code is not null").groupBy("code", "lang", "word").agg(F.sum("n").alias("f"))
         words = stored(listed, "words")
-        if not words.filter("one <> other").limit(1).count():
+        if not words.groupBy("code").agg(F.count(F.lit(1)).alias("words")).filter("words > 1").limit(1).count():
             break
         seed += 1
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
