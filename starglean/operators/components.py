@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_round
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -16,7 +16,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     aggregate, and the join back to its edges is one adaptive execution can
     split, so a hub with a third of all edges is not one task's work.
     """
-    current = cut_lineage(
+    current = cut_round(
         edges.select(F.greatest(src, dst).alias("v"), F.least(src, dst).alias("u")).filter("u <> v").distinct()
     )
     state = None
@@ -31,7 +31,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         joined = large.join(low, "v")
         small = joined.select(F.explode(F.array("u", "v")).alias("v"), F.col("m").alias("u")).filter("u <> v").distinct()
-        current = cut_lineage(small)
+        current = cut_round(small)
         now = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             break

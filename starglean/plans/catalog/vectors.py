@@ -52,6 +52,20 @@ def _(spark, sf):
     return _knn_out(neighbors.knn(views.points2(spark, sf), 3, include_self=False))
 
 
+@query("c4_knn_without_self_whole", _knn_sql(POINTS, 3, False))
+def _(spark, sf):
+    return _knn_out(neighbors.knn(views.points(spark, sf), 3, include_self=False))
+
+
+#: A reach at which whole vectors have some neighbours.
+EPS = 1.15
+
+
+@query("c5_eps_neighbourhood_whole", f"WITH {POINTS}, {PAIRS} SELECT review_id, count(*) AS degree FROM pairs WHERE d <= {EPS} GROUP BY review_id")
+def _(spark, sf):
+    return db.neighbourhood_sizes(views.points(spark, sf), EPS)
+
+
 @query("c5_eps_neighbourhood", f"WITH {POINTS2}, {PAIRS} SELECT review_id, count(*) AS degree FROM pairs WHERE d <= 0.02 GROUP BY review_id")
 def _(spark, sf):
     return db.neighbourhood_sizes(views.points2(spark, sf), 0.02)
@@ -126,6 +140,12 @@ def _(spark, sf):
     return views.points(spark, sf).select(KEY, F.round(v.expected_class(_probabilities()), 6).alias("expected"))
 
 
+@query("h7_expected_class_whole", f"""WITH {POINTS}, e AS (SELECT review_id, list_transform(vec, lambda x: exp(x - list_max(vec))) AS e FROM points)
+  SELECT review_id, round(list_dot_product(e, list_transform(range(1, len(e) + 1), lambda i: CAST(i AS DOUBLE))) / list_sum(e), 6) AS expected FROM e""")
+def _(spark, sf):
+    return views.points(spark, sf).select(KEY, F.round(v.expected_class(v.softmax(F.col("vec"))), 6).alias("expected"))
+
+
 @query("h8_vector_check", "SELECT CAST(max(len(embedding)) AS BIGINT) AS dims, count(*) AS n FROM embeddings HAVING min(len(embedding)) = max(len(embedding))")
 def _(spark, sf):
     rows = views.points(spark, sf)
@@ -137,6 +157,11 @@ def _(spark, sf):
     return _long(views.points2(spark, sf).withColumn("vec", v.l2_normalize(F.col("vec"))))
 
 
+@query("h9_l2_normalize_whole", f"WITH {POINTS}, n AS (SELECT review_id, list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) AS u FROM points) {_long_sql('u', 'n')}")
+def _(spark, sf):
+    return _long(views.points(spark, sf).withColumn("vec", v.l2_normalize(F.col("vec"))))
+
+
 @query("h10_distances", f"""WITH {ASSIGNED} SELECT review_id, round(list_distance(a.vec, s.c), 6) AS euclidean, round(1 - list_cosine_similarity(a.vec, s.c), 6) AS cosine
   FROM assigned a JOIN seeds s USING (cluster)""")
 def _(spark, sf):
@@ -161,8 +186,14 @@ def _(spark, sf):
     return neighbors.suggest_eps(neighbors.k_distance_curve(views.points2(spark, sf), 5)).select(F.round("eps", 6).alias("eps"))
 
 
-def _dbscan_sql(eps: float, min_samples: int) -> str:
-    return f"""WITH RECURSIVE {POINTS2}, {PAIRS}, near AS (SELECT review_id, neighbour FROM pairs WHERE d <= {eps}),
+@query("i13_eps_suggestion_whole", f"""WITH {POINTS}, {PAIRS}, r AS (SELECT review_id, d, row_number() OVER (PARTITION BY review_id ORDER BY d, neighbour) AS k FROM pairs)
+  SELECT round(quantile_cont(d, 0.95), 6) AS eps FROM r WHERE k = 5""")
+def _(spark, sf):
+    return neighbors.suggest_eps(neighbors.k_distance_curve(views.points(spark, sf), 5)).select(F.round("eps", 6).alias("eps"))
+
+
+def _dbscan_sql(eps: float, min_samples: int, points: str = POINTS2) -> str:
+    return f"""WITH RECURSIVE {points}, {PAIRS}, near AS (SELECT review_id, neighbour FROM pairs WHERE d <= {eps}),
   core AS (SELECT review_id FROM near GROUP BY review_id HAVING count(*) >= {min_samples}),
   arcs AS (SELECT review_id AS a, neighbour AS b FROM near WHERE review_id IN (FROM core) AND neighbour IN (FROM core)),
   reach(a, b) AS (SELECT review_id, review_id FROM core UNION SELECT r.a, arcs.b FROM reach r JOIN arcs ON arcs.a = r.b),
@@ -184,6 +215,35 @@ def _(spark, sf):
     return db.dbscan(views.points2(spark, sf), 0.02, 5)
 
 
+@query("i11_dbscan_whole", _dbscan_sql(EPS, 4, POINTS))
+def _(spark, sf):
+    return db.dbscan(views.points(spark, sf), EPS, 4)
+
+
+@query("i12_core_distance_whole", f"""WITH {POINTS}, {PAIRS}, r AS (SELECT review_id, d, row_number() OVER (PARTITION BY review_id ORDER BY d, neighbour) AS k FROM pairs)
+  SELECT review_id, round(d, 6) AS core FROM r WHERE k = 6""")
+def _(spark, sf):
+    return density.core_distances(views.points(spark, sf), 5).select(KEY, F.round("core", 6).alias("core"))
+
+
+# The lightest link between two parts is taken again and again; the parts are a list of labels.
+@query("i12_spanning_tree", f"""WITH RECURSIVE {POINTS}, {PAIRS},
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY d, neighbour) AS k FROM pairs),
+  cores AS (SELECT review_id, d AS core, row_number() OVER (ORDER BY review_id) AS i FROM ranked WHERE k = 6),
+  links AS MATERIALIZED (SELECT x.i AS a, y.i AS b, greatest(d, x.core, y.core) AS w FROM pairs p JOIN cores x ON x.review_id = p.review_id JOIN cores y ON y.review_id = p.neighbour WHERE x.i < y.i),
+  grown(step, labels, weight) AS (SELECT 0, list(i ORDER BY i), CAST(NULL AS DOUBLE) FROM cores
+    UNION ALL SELECT step + 1, list_transform(labels, lambda x: CASE WHEN x = labels[best.b] THEN labels[best.a] ELSE x END), best.w FROM (
+      SELECT step, labels, (SELECT min(ROW(w, a, b)::STRUCT(w DOUBLE, a BIGINT, b BIGINT)) FROM links WHERE labels[a] <> labels[b]) AS best FROM grown) WHERE best IS NOT NULL)
+  SELECT round(weight, 6) AS weight FROM grown WHERE step > 0""")
+def _(spark, sf):
+    return density.spanning_tree(views.points(spark, sf), 5).select(F.round("weight", 6).alias("weight"))
+
+
+@query("i12_density_clusters_whole")
+def _(spark, sf):
+    return density.density_clusters(views.points(spark, sf), min_cluster_size=10, min_samples=5)
+
+
 @query("i12_core_distance", f"""WITH {POINTS2}, {PAIRS}, r AS (SELECT review_id, d, row_number() OVER (PARTITION BY review_id ORDER BY d, neighbour) AS k FROM pairs)
   SELECT review_id, round(d, 6) AS core FROM r WHERE k = 6""")
 def _(spark, sf):
@@ -223,10 +283,19 @@ def _(spark, sf):
     return projected.select(KEY, "embedding_pca", F.lit(kept).alias("retained_pct"))
 
 
-@query("i17_fuzzy_graph_unit_scale", f"""WITH {POINTS2}, {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY d, neighbour) AS k FROM pairs),
+def _fuzzy_sql(points: str) -> str:
+    return f"""WITH {points}, {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY d, neighbour) AS k FROM pairs),
   o AS (SELECT * FROM r WHERE k <= 15 AND review_id <> neighbour), l AS (SELECT review_id, coalesce(min(d) FILTER (d > 0), 0) AS rho FROM o GROUP BY review_id),
   w AS (SELECT least(review_id, neighbour) AS a, greatest(review_id, neighbour) AS b, exp(-greatest(d - rho, 0) / 1.0) AS w FROM o JOIN l USING (review_id))
-  SELECT a, b, round(sum(w) - CASE WHEN count(*) = 2 THEN max(w) * min(w) ELSE 0 END, 6) AS weight FROM w GROUP BY a, b""")
+  SELECT a, b, round(sum(w) - CASE WHEN count(*) = 2 THEN max(w) * min(w) ELSE 0 END, 6) AS weight FROM w GROUP BY a, b"""
+
+
+@query("i17_fuzzy_graph_unit_scale_whole", _fuzzy_sql(POINTS))
+def _(spark, sf):
+    return reduce.fuzzy_graph(views.points(spark, sf), 15, sigma=1.0).select("a", "b", F.round("weight", 6).alias("weight"))
+
+
+@query("i17_fuzzy_graph_unit_scale", _fuzzy_sql(POINTS2))
 def _(spark, sf):
     return reduce.fuzzy_graph(views.points2(spark, sf), 15, sigma=1.0).select("a", "b", F.round("weight", 6).alias("weight"))
 

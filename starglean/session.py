@@ -62,6 +62,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_round(df: DataFrame) -> DataFrame:
+    """:func:`cut_lineage` for loops.
+
+    A checkpoint inherits the estimated size of its plan.  A join estimates the
+    product of its sides, so each round of a loop would double the digits of the
+    estimate, until planning takes longer than the work.  A frame made from the
+    checkpoint's rows starts without an estimate.
+    """
+    spark, rows = df.sparkSession, cut_lineage(df)._jdf
+    return DataFrame(spark._jsparkSession.createDataFrame(rows.toJavaRDD(), rows.schema()), spark)
+
+
 def costly(udf: Callable[..., Column]) -> Callable[..., Column]:
     """Have the optimizer evaluate a model-like function once per row.
 

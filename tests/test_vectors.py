@@ -131,11 +131,10 @@ def brute_density(points, min_cluster_size, min_samples):
 
 
 @pytest.mark.parametrize("min_cluster_size, min_samples, space", [(5, 3, MANY_CELLS), (10, 5, {}), (4, 1, {})])
-def test_density_with_all_levels_is_exact(spark, min_cluster_size, min_samples, space):
+def test_density_is_exact(spark, min_cluster_size, min_samples, space):
     rng = np.random.default_rng(11)
     points = np.concatenate([rng.normal(c, s, (18, 2)) for c, s in (([0, 0], 0.1), ([1.2, 0], 0.2), ([4, 4], 0.3))] + [rng.uniform(-2, 6, (6, 2))])
-    rows = density.density_clusters(
-        frame(spark, points), min_cluster_size, min_samples, reach=float("inf"), max_levels=2000, **space).collect()
+    rows = density.density_clusters(frame(spark, points), min_cluster_size, min_samples, **space).collect()
     found = [r["cluster"] for r in sorted(rows)]
     expected = brute_density(points, min_cluster_size, min_samples).tolist()
     first_seen = lambda labels: [{x: i for i, x in reversed(list(enumerate(labels)))}[x] if x >= 0 else -1 for x in labels]
