@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import running_total
 from .common import map_batches, slices, spread, stored, texts_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -297,9 +298,9 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST_COUNT, ahea
     spelled = reached.filter("alive").select(*columns, F.posexplode("phrase").alias("pos", "code"))
     names = corpus.words.select(F.col("phrase")[0].alias("code"), "word")
     phrases = spelled.join(names, "code").groupBy("phrase", "lang", "a", "l", "r", "score").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("words"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("phrase", F.array_join("words.word", " ")).drop("words").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
-    return ranked.join(corpus.totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    spelled = phrases.select("lang", F.array_join("words.word", " ").alias("phrase"), "a", "l", "r", "score", (-F.col("score")).alias("below"), (-F.col("a")).alias("rarer"), F.lit(1).cast("bigint").alias("one"))
+    ranked = running_total(spelled, "one", ["below", "rarer", "phrase"], ["lang"], "rank").filter(F.col("rank") <= top)
+    return ranked.join(corpus.totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def _longer(phrases: DataFrame, length: int) -> DataFrame:
