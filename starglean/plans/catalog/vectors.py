@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions import vectors as v
 from ...operators import dbscan as db
-from ...operators import density, kmeans, metrics, neighbors, reduce
+from ...operators import density, kmeans, metrics, multistart, neighbors, reduce
 from ...schema import KEY
 from ...session import cut_lineage
 from ...sources import views
@@ -277,6 +277,36 @@ def _(spark, sf):
     return kmeans.sweep_k(views.points(spark, sf), [2, 3, 5])
 
 
+#: The values of k in the sweep.
+SWEEP = [2, 3, 4, 5, 6, 7, 8, 10]
+
+
+@query("i6_kmeans_ten_starts")
+def _(spark, sf):
+    fits = multistart.fit_all(views.points(spark, sf), [5], n_init=10)
+    return spark.createDataFrame([(f.k, f.start, f.inertia, f.rounds) for f in fits], "k int, start int, inertia double, rounds int")
+
+
+@query("i8_sweep_all_k")
+def _(spark, sf):
+    return multistart.sweep(views.points(spark, sf), SWEEP)
+
+
+@query("i8_sweep_recomputed", f"SELECT k, n AS rows, TRUE AS inertia_agrees, TRUE AS dbi_agrees FROM (SELECT unnest([{', '.join(map(str, SWEEP))}]) AS k), (SELECT count(*) AS n FROM embeddings)")
+def _(spark, sf):
+    """Inertia and index of every sweep, computed again from an assignment to its centres."""
+    points = views.points(spark, sf)
+    found = []
+    for fit in multistart.best_fits(multistart.fit_all(points, SWEEP, n_init=1)):
+        labelled = cut_lineage(kmeans.assign_nearest(points, fit.centres))
+        centre = F.element_at(F.array(*[v.literal_vector(c) for c in fit.centres]), F.col("cluster") + 1)
+        again = labelled.agg(F.sum(v.euclidean(F.col("vec"), centre) ** 2), F.count(F.lit(1))).first()
+        far = fit.davies_bouldin() - metrics.davies_bouldin(labelled, "cluster").first()["dbi"]
+        # The index takes centres as the means of their rows, which a run that stopped within its tolerance nearly meets.
+        found.append((fit.k, again[1], bool(abs(again[0] - fit.inertia) <= 1e-6 * fit.inertia), bool(abs(far) <= 1e-3)))
+    return spark.createDataFrame(found, "k int, rows bigint, inertia_agrees boolean, dbi_agrees boolean")
+
+
 @query("i14_pca")
 def _(spark, sf):
     projected, kept = reduce.pca(views.points(spark, sf), 2)
