@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.vectors import literal_vector
 from ..schema import KEY
 from ..session import cut_lineage
+from .layout import attract_repel
 from .neighbors import knn, unit_vectors
+from .spectral import spectral_layout
 
 
 def check_vectors(df: DataFrame, vec: str = "vec") -> int:
@@ -95,51 +97,25 @@ def fuzzy_graph(
     return directed.groupBy("a", "b").agg((F.sum("w") - product).alias("weight"))
 
 
-def spectral_layout(graph: DataFrame, dims: int = 2, iterations: int = 30, seed: int = 42, out: str = "coords") -> DataFrame:
-    """Coordinates from the leading non-trivial eigenvectors of the normalised graph.
-
-    Orthogonal iteration: coordinates travel along the edges, sums combine
-    map-side, and only a (dims + 1) squared Gram matrix comes to the driver.
-    """
-    m = dims + 1
-    names = [f"x{i}" for i in range(m)]
-    arcs = graph.select(F.col("a").alias("id"), F.col("b").alias("other"), "weight").unionByName(
-        graph.select(F.col("b").alias("id"), F.col("a").alias("other"), "weight"))
-    degree = arcs.groupBy("id").agg(F.sum("weight").alias("degree"))
-    scaled = arcs.join(degree, "id").join(degree.select(F.col("id").alias("other"), F.col("degree").alias("d2")), "other").select(
-        "id", "other", (F.col("weight") / F.sqrt(F.col("degree") * F.col("d2"))).alias("weight"))
-    scaled = cut_lineage(scaled)
-    # Start: the known leading eigenvector (root degree) and reproducible noise from the key.
-    noise = [(F.pmod(F.xxhash64("id", F.lit(seed + i)), F.lit(2_000_003)) / 1_000_001.5 - 1.0).alias(n) for i, n in enumerate(names) if i]
-    coords = _orthonormal(cut_lineage(degree.select("id", F.sqrt("degree").alias("x0"), *noise)), names)
-    for _ in range(iterations):
-        # (W + I) / 2 keeps every eigenvalue non-negative, so the order is by value.
-        moved = scaled.join(coords.withColumnRenamed("id", "other"), "other").groupBy("id").agg(
-            *[F.sum(F.col("weight") * F.col(n)).alias(f"m_{n}") for n in names])
-        mixed = coords.join(moved, "id").select("id", *[((F.col(n) + F.col(f"m_{n}")) / 2).alias(n) for n in names])
-        coords = _orthonormal(cut_lineage(mixed), names)
-    return coords.select("id", F.array(*names[1:]).alias(out))
-
-
-def _orthonormal(coords: DataFrame, names: list[str]) -> DataFrame:
-    """Columns made orthonormal, in order, through the Cholesky factor of their Gram matrix."""
-    m = len(names)
-    cells = [(i, j) for i in range(m) for j in range(i, m)]
-    row = coords.agg(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in cells]).first()
-    gram = np.zeros((m, m))
-    for (i, j), value in zip(cells, row):
-        gram[i, j] = gram[j, i] = value
-    gram += np.eye(m) * 1e-14 * max(gram.max(), 1e-300)
-    back = np.linalg.inv(np.linalg.cholesky(gram)).T
-    mixed = [sum(F.col(names[i]) * F.lit(float(back[i, j])) for i in range(j + 1)).alias(names[j]) for j in range(m)]
-    return coords.select("id", *mixed)
-
-
 def neighbour_reduction(
     df: DataFrame, dims: int = 15, k: int = 30, key: str = KEY, vec: str = "vec", metric: str = "euclidean",
-    iterations: int = 30, out: str = "embedding_umap_15", **space: int,
+    min_dist: float | None = 0.1, tol: float = 1e-3, seed: int = 42, out: str = "embedding_umap_15", **space: int,
 ) -> DataFrame:
-    """Neighbour graph plus spectral layout: ``key`` and its ``dims`` coordinates as floats."""
+    """Neighbour graph, spectral start, and a layout of it: ``key`` and its ``dims`` coordinates as floats.
+
+    Neighbours attract each other down to about ``min_dist``; with None the
+    spectral coordinates, exact to ``tol``, are the result.
+    """
     graph = cut_lineage(fuzzy_graph(df, k, key, vec, metric, **space))
-    laid = spectral_layout(graph, dims, iterations)
+    laid = spectral_layout(graph, dims, tol, seed)
+    if min_dist is not None:
+        laid = attract_repel(graph, laid, min_dist, seed)
     return laid.select(F.col("id").alias(key), F.col("coords").cast("array<float>").alias(out))
+
+
+def neighbours_kept(df: DataFrame, laid: DataFrame, k: int, key: str = KEY, vec: str = "vec", coords: str = "embedding_umap_15") -> DataFrame:
+    """One row ``kept``: the share of the ``k`` nearest other rows by ``vec`` that are among the ``k`` nearest by ``coords``."""
+    before = knn(df, k, key, vec, include_self=False).select(key, "neighbour")
+    after = knn(laid.select(key, F.col(coords).cast("array<double>").alias("vec")), k, key, include_self=False).select(key, "neighbour")
+    both = before.withColumn("same", F.lit(0.0)).join(after.withColumn("found", F.lit(1.0)), [key, "neighbour"], "left")
+    return both.agg(F.avg(F.coalesce("found", "same")).alias("kept"))

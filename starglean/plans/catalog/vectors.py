@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions import vectors as v
 from ...operators import dbscan as db
-from ...operators import density, kmeans, metrics, multistart, neighbors, reduce
+from ...operators import density, kmeans, metrics, multistart, neighbors, reduce, spectral
 from ...schema import KEY
 from ...session import cut_lineage
 from ...sources import views
@@ -337,9 +337,34 @@ def _(spark, sf):
 
 @query("i18_spectral_layout")
 def _(spark, sf):
-    return reduce.spectral_layout(reduce.fuzzy_graph(views.points2(spark, sf), 15), 2, iterations=8)
+    return spectral.spectral_layout(reduce.fuzzy_graph(views.points2(spark, sf), 15), 2)
+
+
+@query("i18_spectral_layout_whole")
+def _(spark, sf):
+    return spectral.spectral_layout(reduce.fuzzy_graph(views.points(spark, sf), 15), 2)
+
+
+@query("i18_spectral_residual", "SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS pos, TRUE AS small")
+def _(spark, sf):
+    """Whether each coordinate, put back on the edges, is an eigenvector to 0.000002."""
+    graph = cut_lineage(reduce.fuzzy_graph(views.points(spark, sf), 15))
+    laid = spectral.spectral_layout(graph, 3)
+    return spectral.residuals(graph, laid, 3).select("pos", (F.col("residual") <= 2e-6).alias("small"))
+
+
+#: The least share of ten nearest rows that a layout in three dimensions keeps; chance would keep one in fifty at most.
+KEPT = 0.15
+
+
+@query("i16_neighbours_kept", "SELECT TRUE AS enough")
+def _(spark, sf):
+    """Whether the layout keeps enough of each row's nearest rows."""
+    points = views.points(spark, sf)
+    laid = cut_lineage(reduce.neighbour_reduction(points, 3, 15, metric="cosine"))
+    return reduce.neighbours_kept(points, laid, 10).select((F.col("kept") >= KEPT).alias("enough"))
 
 
 @query("i16_neighbour_reduction")
 def _(spark, sf):
-    return reduce.neighbour_reduction(views.points(spark, sf), 3, 15, metric="cosine", iterations=5)
+    return reduce.neighbour_reduction(views.points(spark, sf), 3, 15, metric="cosine")

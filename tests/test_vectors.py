@@ -201,7 +201,7 @@ def test_local_scale_meets_its_target(spark, cloud):
 def test_layout_separates_two_groups(spark):
     rng = np.random.default_rng(3)
     points = np.concatenate([rng.normal(0, 0.2, (20, 2)), rng.normal(1.5, 0.2, (20, 2))])
-    laid = reduce.neighbour_reduction(frame(spark, points), 1, 10, iterations=25).collect()
+    laid = reduce.neighbour_reduction(frame(spark, points), 1, 10).collect()
     x = np.array([r["embedding_umap_15"][0] for r in sorted(laid, key=lambda r: r["review_id"])])
     assert (x[:20].mean() > 0) != (x[20:].mean() > 0)
 
