@@ -16,7 +16,7 @@ from pyspark.sql.functions import arrow_udf
 from ..functions.hashing import md5_hash32
 from ..functions.text import words
 from ..functions.vectors import doubles, expected_class, list_column, softmax
-from ..session import costly
+from ..session import costly, scratch_path
 
 #: Loads a model in a Python worker and returns the function applied to each batch.
 PredictFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
@@ -58,10 +58,16 @@ def embed_text(
 
 
 def fit_class_model(df: DataFrame, label: str, embedding: str = "embedding", max_iter: int = 20) -> LogisticRegressionModel:
-    """Multinomial regression of a class index (0, 1, ...) on the embedding."""
+    """Multinomial regression of a class index (0, 1, ...) on the embedding.
+
+    The model is stored and read again: as fitted it also holds a summary of its
+    training, session included, which cannot go to tasks once a write is observed.
+    """
     data = df.filter(F.col(label).isNotNull()).select(
         F.col(label).cast("double").alias("label"), array_to_vector(doubles(F.col(embedding))).alias("features"))
-    return LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial").fit(data)
+    path = scratch_path(df.sparkSession, "class-model")
+    LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial").fit(data).save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def score_expected_class(

@@ -1,8 +1,10 @@
 """Language tagging with character-trigram profiles learned from labelled text.
 
-Learning is a distributed count (explode, combine, top-k per language).  The
-learned model is small by construction (languages x ``features`` trigrams), so
-scoring is a narrow Arrow function: no shuffle in batch, no state in a stream.
+Learning is a distributed count (explode, combine).  A model that fits
+``MODEL_BYTES`` is shipped to the tasks, and scoring is a narrow Arrow function:
+no shuffle in batch, no state in a stream.  A larger one stays a table, and
+:func:`scores_by_join` meets it by a join.  All trigrams count, or the most
+frequent ``features`` of each language if that is asked for.
 """
 
 from __future__ import annotations
@@ -17,12 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from ..session import costly
+from ..session import costly, cut_lineage
 from .filters import short_text_language
 
 UNKNOWN = "unknown"
 #: Most bytes of model shipped to the tasks.
 MODEL_BYTES = 64 << 20
+#: Characters scored at once.
+LETTERS = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -36,8 +40,8 @@ class Profiles:
 
 
 def trigrams(text: Column) -> Column:
-    """All overlapping character trigrams of the lower-cased text."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(?=(...))"), 1)
+    """All overlapping character trigrams of the lower-cased text; each match moves on by one whole character."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(?s)\G(?=(...))."), 1)
 
 
 def _code(gram: str) -> int:
@@ -45,53 +49,104 @@ def _code(gram: str) -> int:
     return sum(ord(c) << (21 * i) for i, c in enumerate(gram))
 
 
-def profile_counts(df: DataFrame, text: str, lang: str = "lang", features: int = 2000) -> DataFrame:
-    """The ``features`` most frequent trigrams per language, with the language's total."""
+def profile_counts(df: DataFrame, text: str, lang: str = "lang", features: int | None = None) -> DataFrame:
+    """``lang, gram, n, total``: the trigrams of each language, all or the ``features`` most frequent, and the language's total."""
     grams = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(f"`{text}`"))).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= features).drop("_r")
-    return top.join(totals, "lang")
+    if features is not None:
+        order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+        counts = counts.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= features).drop("_r")
+    return counts.join(totals, "lang")
 
 
-def train_profiles(df: DataFrame, text: str, lang: str = "lang", features: int = 2000) -> Profiles:
-    """Add-one smoothed log-probabilities of the selected trigrams."""
+def smoothing(counts: DataFrame, features: int | None) -> int:
+    """What is added to each language's total: the features kept, or the distinct trigrams of all languages."""
+    return features if features is not None else counts.agg(F.count_distinct("gram")).first()[0]
+
+
+def train_profiles(df: DataFrame, text: str, lang: str = "lang", features: int | None = 2000) -> Profiles:
+    """Add-one smoothed log-probabilities of the selected trigrams; None takes all."""
     languages = sorted(r[0] for r in df.select(lang).filter(F.col(lang).isNotNull()).distinct().collect())
-    if len(languages) * features * 8 * max(len(languages), 1) > MODEL_BYTES:
-        raise ValueError("too many languages for this many features; lower features")
-    rows = profile_counts(df, text, lang, features).collect()
-    totals = {r["lang"]: r["total"] for r in rows}
-    floors = np.array([-math.log(totals.get(name, 0) + features) for name in languages])
-    codes = np.array(sorted({_code(r["gram"]) for r in rows}), dtype=np.uint64)
+    counts = cut_lineage(profile_counts(df, text, lang, features))
+    return ship_profiles(counts, languages, smoothing(counts, features))
+
+
+def ship_profiles(counts: DataFrame, languages: list[str], added: int) -> Profiles:
+    """A counts table as arrays, if its distinct trigrams times languages fit ``MODEL_BYTES``."""
+    size = counts.agg(F.count_distinct("gram")).first()[0]
+    if (len(languages) + 1) * size * 8 > MODEL_BYTES:
+        raise ValueError("the model is too large to ship; score by join or lower features")
+    rows = counts.select("lang", "gram", "n", "total").toArrow()
+    langs, grams = rows.column("lang").to_pylist(), rows.column("gram").to_pylist()
+    totals = dict(zip(langs, rows.column("total").to_pylist()))
+    floors = np.array([-math.log(totals.get(name, 0) + added) for name in languages])
+    of_row = np.array([_code(g) for g in grams], dtype=np.uint64)
+    codes = np.unique(of_row)
     gains = np.zeros((len(codes), len(languages)))
-    for r in rows:
-        gains[np.searchsorted(codes, np.uint64(_code(r["gram"]))), languages.index(r["lang"])] = math.log(r["n"] + 1)
+    place = {name: i for i, name in enumerate(languages)}
+    gains[np.searchsorted(codes, of_row), [place[name] for name in langs]] = np.log(rows.column("n").to_numpy() + 1.0)
     return Profiles(languages, codes, gains, floors)
 
 
+def _flat_scores(texts: list[str], profiles: Profiles) -> np.ndarray:
+    """Scores of some texts, their trigrams looked up in one pass; rows without a trigram are NaN."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    found = np.full((len(texts), len(profiles.languages)), np.nan)
+    windows = np.maximum(lengths - 2, 0)
+    if not windows.any() or not len(profiles.codes):
+        return found
+    # Windows that run into the next text are left out.
+    row = np.repeat(np.arange(len(texts)), windows)
+    first = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(np.cumsum(lengths) - lengths, windows)
+    grams = points[first] | (points[first + 1] << np.uint64(21)) | (points[first + 2] << np.uint64(42))
+    at = np.minimum(np.searchsorted(profiles.codes, grams), len(profiles.codes) - 1)
+    hit = profiles.codes[at] == grams
+    row, at = row[hit], at[hit]
+    for i, floor in enumerate(profiles.floors):
+        found[:, i] = np.bincount(row, weights=profiles.gains[at, i], minlength=len(texts)) + windows * floor
+    found[windows == 0] = np.nan
+    return found
+
+
 def language_scores(text: Column, profiles: Profiles) -> Column:
     """Log-probability of the text under each language, in language order; null if it has no trigram."""
-    codes, gains, floors = profiles.codes, profiles.gains, profiles.floors
 
     @arrow_udf(T.ArrayType(T.DoubleType()))
     def score(texts: pa.Array) -> pa.Array:
         out: list[list[float] | None] = []
-        for value in texts.to_pylist():
-            points = np.frombuffer((value or "").encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-            if len(points) < 3 or not len(codes):
-                out.append(None)
-                continue
-            grams = points[:-2] | (points[1:-1] << np.uint64(21)) | (points[2:] << np.uint64(42))
-            at = np.minimum(np.searchsorted(codes, grams), len(codes) - 1)
-            hits = np.bincount(at[codes[at] == grams], minlength=len(codes))
-            used = np.flatnonzero(hits)
-            out.append((hits[used] @ gains[used] + len(grams) * floors).tolist())
-        return pa.array(out, pa.list_(pa.float64()))
+        values = [t or "" for t in texts.to_pylist()]
+        start = 0
+        while start < len(values):
+            # Some texts at a time, so that memory follows the longest text and not the batch.
+            stop, size = start, 0
+            while stop < len(values) and (stop == start or size + len(values[stop]) <= LETTERS):
+                size += len(values[stop])
+                stop += 1
+            part = _flat_scores(values[start:stop], profiles)
+            out += [None if np.isnan(s[:1]).any() or not len(s) else s for s in part]
+            start = stop
+        return pa.array([None if s is None else s.tolist() for s in out], pa.list_(pa.float64()))
 
     return costly(score)(F.lower(text))
 
 
+def scores_by_join(df: DataFrame, key: str, text: str, counts: DataFrame, added: int) -> DataFrame:
+    """``key, lang, score`` for a model of any size: the trigrams of all rows meet the counts table.
+
+    Rows without a trigram have no score.  A frequent trigram is counted within
+    its row first, and the join is one that adaptive execution can split.
+    """
+    grams = df.select(key, F.explode(trigrams(F.col(f"`{text}`"))).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("c"))
+    grams = cut_lineage(grams)
+    gains = grams.join(counts.select("gram", "lang", F.log(F.col("n") + 1.0).alias("gain")), "gram").groupBy(key, "lang").agg(F.sum(F.col("c") * F.col("gain")).alias("gain"))
+    totals = counts.groupBy("lang").agg(F.first("total").alias("total")).collect()
+    floors = F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), F.lit(-math.log(r["total"] + added)).alias("floor")) for r in totals])
+    sizes = grams.groupBy(key).agg(F.sum("c").alias("m")).select(key, "m", F.inline(floors))
+    return sizes.join(gains, [key, "lang"], "left").select(key, "lang", (F.coalesce("gain", F.lit(0.0)) + F.col("m") * F.col("floor")).alias("score"))
+
+
 def tag_language(df: DataFrame, profiles: Profiles, text: str, min_tokens: int = 1, out: str = "lang") -> DataFrame:
     """Best language per row; too short, empty or unscorable rows are ``unknown``, each for itself."""
     names = F.array(*[F.lit(n) for n in profiles.languages])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ...functions import text as t
 from ...operators import analysis, encode, language
 from ...schema import CLEAN, EMBEDDINGS, ITEM, KEY, RAW_REVIEWS, SCORE, SUMMARY, TEXT, USER, as_table
-from ...session import scratch_path
+from ...session import cut_lineage, scratch_path
 from ...sources import files, views
 from ...streaming import reviews as streams
 from .. import jobs
@@ -149,16 +149,26 @@ def _(spark, sf):
 # --- language ----------------------------------------------------------------------------------
 
 _FEATURES = 300
-_SCORES = f"""{REVIEWS}, low AS (SELECT review_id, lang, lower(body) AS s FROM reviews),
+
+
+def _scores_sql(features: int | None) -> str:
+    """Scores by the most frequent trigrams of each language, or by all."""
+    top = "SELECT * FROM counts" if features is None else (
+        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM counts) WHERE k <= {features}")
+    added = "(SELECT count(DISTINCT gram) FROM counts)" if features is None else features
+    return f"""{REVIEWS}, low AS (SELECT review_id, lang, lower(body) AS s FROM reviews),
   chars AS (SELECT review_id, lang, string_split(s, '') AS c FROM low),
   grams AS (SELECT review_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM chars),
   counts AS (SELECT lang, gram, count(*) AS n FROM grams GROUP BY lang, gram),
   totals AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
-  top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM counts) WHERE k <= {_FEATURES}),
+  top AS ({top}),
   sizes AS (SELECT review_id, gram, count(*) AS c FROM grams GROUP BY review_id, gram),
   gains AS (SELECT review_id, top.lang, sum(c * ln(n + 1)) AS gain FROM sizes JOIN top USING (gram) GROUP BY review_id, top.lang),
   lens AS (SELECT review_id, length(s) - 2 AS m FROM low WHERE length(s) > 2),
-  scores AS (SELECT review_id, t.lang, coalesce(gain, 0) - m * ln(total + {_FEATURES}) AS score FROM lens CROSS JOIN totals t LEFT JOIN gains USING (review_id, lang))"""
+  scores AS (SELECT review_id, t.lang, coalesce(gain, 0) - m * ln(total + {added}) AS score FROM lens CROSS JOIN totals t LEFT JOIN gains USING (review_id, lang))"""
+
+
+_SCORES, _ALL_SCORES = _scores_sql(_FEATURES), _scores_sql(None)
 
 
 def _profiles(spark, sf, features=_FEATURES):
@@ -178,6 +188,24 @@ def _(spark, sf):
     return language.tag_language(views.reviews(spark, sf, spread=True).drop("lang"), _profiles(spark, sf), TEXT).select(KEY, "lang")
 
 
+@query("i1_tag_language_all", f"WITH {_ALL_SCORES} SELECT review_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY score DESC, lang) AS k FROM scores) WHERE k = 1")
+def _(spark, sf):
+    """By all trigrams; the model is stored and read again, as a stream would."""
+    path = scratch_path(spark, "profiles")
+    files.write_parquet(language.profile_counts(views.reviews(spark, sf, spread=True), TEXT), path)
+    counts = spark.read.parquet(path)
+    names = sorted(row["lang"] for row in counts.select("lang").distinct().collect())
+    profiles = language.ship_profiles(counts, names, language.smoothing(counts, None))
+    return language.tag_language(views.reviews(spark, sf, spread=True).drop("lang"), profiles, TEXT).select(KEY, "lang")
+
+
+@query("i1_scores_by_join", f"WITH {_ALL_SCORES} SELECT review_id, lang, round(score, 4) AS score FROM scores")
+def _(spark, sf):
+    rows = views.reviews(spark, sf, spread=True)
+    counts = cut_lineage(language.profile_counts(rows, TEXT))
+    return language.scores_by_join(rows.drop("lang"), KEY, TEXT, counts, language.smoothing(counts, None)).withColumn("score", F.round("score", 4))
+
+
 # --- encoders ----------------------------------------------------------------------------------
 
 @query("i2_hash_embedding", f"""WITH {REVIEWS}, tok AS (SELECT review_id, unnest({r.words('lower(body)')}) AS w FROM reviews),
@@ -233,6 +261,39 @@ def _(spark, sf):
     return spark.read.parquet(out).select(KEY, "row_id", F.col(f"`{SCORE}`").alias("score"))
 
 
+def _unreadable(rows):
+    """The score of every fifth star class is no number."""
+    return rows.withColumn(SCORE, F.when(F.col(f"`{SCORE}`") == 5, "n/a").otherwise(F.col(f"`{SCORE}`").cast("string")))
+
+
+@query("a15_measured_run", f"""WITH {REVIEWS}, n AS (SELECT count(*) AS total, count(*) FILTER (score <> 5) AS good, count(*) FILTER (score = 5) AS bad,
+    count(*) FILTER (score <= 2) AS early FROM reviews)
+  SELECT 1 AS run, early AS total, early AS written, CAST(0 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped FROM n
+  UNION ALL SELECT 2, total, good - early, bad, early FROM n UNION ALL SELECT 3, total, 0, 0, total FROM n""")
+def _(spark, sf):
+    """Three runs over growing input: what each met, wrote, failed on and skipped."""
+    rows, model = _unreadable(_cleaned(spark, sf).drop("lang")), _class_model(spark, sf)
+    out, dead = scratch_path(spark, "embeddings"), scratch_path(spark, "dead")
+    early = rows.filter(F.col(f"`{SCORE}`").isin("1.0", "2.0"))
+    found = [jobs.embedding_run(part, out, dead, model, dims=32).table(spark).withColumn("run", F.lit(i)) for i, part in enumerate((early, rows, rows), 1)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("i19_csv_to_clusters", f"""WITH {REVIEWS}, c AS (SELECT review_id, score, {r.clean('body')} AS t FROM reviews),
+    kept AS (SELECT * FROM c WHERE NOT regexp_matches(t, '[^\x00-\x7F]'))
+  SELECT CAST(review_id AS VARCHAR) AS row_id, score AS rating, TRUE AS clustered FROM kept WHERE score <> 5""")
+def _(spark, sf):
+    """From written CSV files, some scores unreadable, to the CSV results of reduction, k-means and density clustering."""
+    from pyspark.sql import types as T
+
+    folder = scratch_path(spark, "csv-job")
+    jobs.from_csv(spark, _csv(spark, _unreadable(_raw(spark, sf))), folder, _class_model(spark, sf), k=5, dims=32, method="density", min_samples=5, min_cluster_size=20)
+    schema = T.StructType().add(KEY, T.LongType()).add("row_id", T.StringType()).add("rating", T.DoubleType()).add("sentiment_score", T.DoubleType()).add(
+        "cluster_kmeans", T.IntegerType()).add("cluster_dbscan", T.IntegerType())
+    results = files.read_csv(spark, f"{folder}/results", schema)
+    return results.select("row_id", "rating", (F.col("cluster_kmeans").between(0, 4) & (F.col("cluster_dbscan") >= -1)).alias("clustered"))
+
+
 def _vectors(spark, sf):
     meta = views.cluster_results(spark, sf).select(KEY, "rating", "sentiment_score")
     return meta.join(views.points(spark, sf), KEY)
@@ -279,7 +340,7 @@ def _(spark, sf):
 def _(spark, sf):
     out = scratch_path(spark, "counts")
     streams.count_languages(_stream(spark, sf), _profiles(spark, sf), "text", out, scratch_path(spark, "progress"))
-    return spark.read.parquet(out)
+    return streams.latest_counts(spark, out)
 
 
 def _embedding_stream(spark, sf):

@@ -92,3 +92,18 @@ def with_content_key(df: DataFrame, slots: int | None = None) -> DataFrame:
         .withColumn("review_key", F.concat_ws("-", "_content", F.col("_shift") + F.col("_rank")))
         .drop("_content", "_slot", "_shift", "_rank")
     )
+
+
+def with_review_id(df: DataFrame, start: int = 0) -> DataFrame:
+    """Add the bigint ``review_id`` that all stages join on: ``start`` plus the place of the row's content key.
+
+    It depends on the rows' contents only, not on their files or partitions.
+    Only keys are put in order; rows meet their number by one join.  Mint it
+    once for each lot of files, with ``start`` beyond the numbers given so far,
+    and write it down with the rows.  A column of that name is replaced.
+    """
+    from .operators.ordering import global_row_number
+
+    keyed = cut_lineage(with_content_key(df.drop(KEY)))
+    numbers = global_row_number(keyed.select("review_key"), ["review_key"], KEY)
+    return keyed.join(numbers, "review_key").withColumn(KEY, F.col(KEY) + F.lit(start - 1)).drop("review_key")

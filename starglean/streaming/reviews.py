@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rows import split_bad_rows
 from ..operators.filters import in_language
 from ..operators.language import Profiles, tag_language
 from ..plans.jobs import embed_rows
-from ..schema import CLEAN, KEY, SCORE
+from ..schema import KEY, SCORE
 
 
 def read_folder(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -31,25 +32,47 @@ def filter_language(stream: DataFrame, profiles: Profiles, text: str, out: str,
 
 
 def count_languages(stream: DataFrame, profiles: Profiles, text: str, out: str, checkpoint: str, min_tokens: int = 1) -> None:
-    """Running language counts; ``out`` always holds the latest complete table."""
+    """Running language counts, a complete table per micro-batch; :func:`latest_counts` reads the last one.
+
+    A batch writes its table below ``out/version=N`` and then an empty file
+    ``out/done/N``.  Readers go by the marks, so they never see half a table,
+    and a batch that is replayed writes the same version again.
+    """
     counts = tag_language(stream, profiles, text, min_tokens).groupBy("lang").count()
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def publish(batch: DataFrame, number: int) -> None:
+        write_version(batch, out, number)
 
-    query = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
+    query = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def split_bad_rows(df: DataFrame, text: str = CLEAN, score: str = SCORE) -> DataFrame:
-    """Add ``_error``: why a row cannot be processed, or null.  One bad row spoils no other."""
-    as_number = F.col(f"`{score}`").try_cast("double")
-    reason = (
-        F.when(F.col(f"`{text}`").isNull(), "missing text")
-        .when(F.col(f"`{score}`").isNull(), "missing score")
-        .when(as_number.isNull(), "score is not a number")
-    )
-    return df.withColumn("_error", reason)
+def _folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_version(table: DataFrame, out: str, number: int) -> None:
+    """Write a complete table and, once it is there, mark it as such."""
+    table.write.mode("overwrite").parquet(f"{out}/version={number}")
+    mark, system = _folder(table.sparkSession, f"{out}/done/{number}")
+    system.create(mark, True).close()
+
+
+def latest_version(spark: SparkSession, out: str) -> int | None:
+    """The last version that is marked as complete."""
+    marks, system = _folder(spark, f"{out}/done")
+    if not system.exists(marks):
+        return None
+    return max((int(f.getPath().getName()) for f in system.listStatus(marks)), default=None)
+
+
+def latest_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The last complete table; none yet is an error."""
+    number = latest_version(spark, out)
+    if number is None:
+        raise FileNotFoundError(f"no complete version in {out}")
+    return spark.read.parquet(f"{out}/version={number}")
 
 
 def embed_stream(stream: DataFrame, model, out: str, dead_letters: str, checkpoint: str, dims: int = 64) -> None:
@@ -72,4 +95,4 @@ def embed_stream(stream: DataFrame, model, out: str, dead_letters: str, checkpoi
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-__all__ = ["KEY", "count_languages", "embed_stream", "filter_language", "read_folder", "split_bad_rows"]
+__all__ = ["KEY", "count_languages", "embed_stream", "filter_language", "latest_counts", "latest_version", "read_folder", "split_bad_rows", "write_version"]
