@@ -2,7 +2,8 @@
 
 A line's place in the tree is fixed in depth: its token count, then its first
 ``LEADING`` tokens; tokens with digits or ``@`` are variable fields and read
-``<*>`` from the start.  In each leaf the most frequent token of every position
+``<*>`` from the start, unless a line has no others: such a line is data and
+recurs only where it is the same.  In each leaf the most frequent token of every position
 makes the leaf's template; lines that agree with it in at least ``AGREE`` of
 their positions belong to it, and the positions where they differ are variable
 fields too.  Other lines are templates of their own.  A template that occurs in
@@ -34,8 +35,10 @@ def masked_line(line: Column) -> Column:
     """The tokens of a line with single spaces between them, variable fields masked."""
     spaced = F.array_remove(F.split(F.replace(line, F.lit("\t"), F.lit(" ")), " "), "")
     masked = F.transform(spaced, lambda t: F.when(t.rlike(VARIABLE), FIELD).otherwise(t))
+    plain = F.array_join(spaced, " ")
+    constant = F.exists(spaced, lambda t: ~t.rlike(VARIABLE))
     as_is = ~(line.contains("  ") | line.contains("\t") | line.startswith(" ") | line.endswith(" ") | line.rlike(VARIABLE))
-    return F.when(as_is, line).otherwise(F.array_join(masked, " "))
+    return F.when(as_is, line).when(~constant, plain).otherwise(F.array_join(masked, " "))
 
 
 def placed_lines(docs: DataFrame, min_tokens: int) -> DataFrame:
@@ -98,17 +101,19 @@ def drop_common_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int
     tokens say too little and stay.  Rows that repeat ``doc_id`` and text count
     as one document and get the same text; the first document of a template is
     the one with the least ``doc_id`` (null last), then the least content name.
-    Other columns pass through; columns named like the added ones are replaced.
+    Other columns pass through, whatever their names; ``n_lines`` and ``n_dropped`` are replaced.
     """
-    gone = dropped_lines(docs, min_docs, min_tokens, agree).withColumnsRenamed({"row": "_row", "dropped": "_gone"})
-    lines = lines_of(F.col("text"))
-    left = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    return docs.drop("n_lines", "n_dropped").withColumn("_row", row_key(F.col("doc_id"), F.col("text"))) \
-        .join(gone, "_row", "left").drop("_row") \
-        .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint")) \
-        .withColumn("n_dropped", F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint")) \
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))) \
-        .drop("_gone")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    met = keyed.join(dropped_lines(docs, min_docs, min_tokens, agree), "row", "left")
+    text, dropped = F.col("doc.text"), F.col("dropped")
+    lines = lines_of(text)
+    left = F.filter(lines, lambda line, i: ~F.array_contains(dropped, i))
+    cleaned = F.when(dropped.isNull(), text).otherwise(F.array_join(left, "\n"))
+    return met.select(
+        *[cleaned.alias("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in names],
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
@@ -128,7 +133,8 @@ keyed AS (SELECT row_number() OVER () AS row_, md5(concat_ws(chr(1), coalesce('v
 split_ AS (SELECT row_, name_, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no FROM keyed),
 toks AS (SELECT row_, name_, doc_id, line_no, list_filter(regexp_split_to_array(line, '[ \\t]+'), lambda t: t <> '') AS raw FROM split_),
 parsed AS (SELECT row_, name_, doc_id, line_no,
-                  list_transform(raw, lambda t: CASE WHEN regexp_matches(t, '[0-9@]') THEN '{FIELD}' ELSE t END) AS tokens
+                  CASE WHEN len(list_filter(raw, lambda t: NOT regexp_matches(t, '[0-9@]'))) = 0 THEN raw
+                       ELSE list_transform(raw, lambda t: CASE WHEN regexp_matches(t, '[0-9@]') THEN '{FIELD}' ELSE t END) END AS tokens
            FROM toks WHERE len(raw) >= {MIN_TOKENS}),
 placed AS (SELECT *, CAST(len(tokens) AS VARCHAR) || ' ' || array_to_string(tokens[1:{LEADING}], ' ') AS leaf,
                   array_to_string(tokens, ' ') AS body FROM parsed),

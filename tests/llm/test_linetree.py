@@ -36,3 +36,19 @@ def test_repeated_rows_are_one_document(spark):
     rows = [(1, "one line said again and again")] * 9 + [(2, "one line said again and again")]
     got = linetree.drop_common_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(got) == 10 and all(r.n_dropped == 0 for r in got)
+
+
+def test_lines_of_numbers_are_kept(spark):
+    """Rows of data differ in every field; only a row that is the same in many documents is boilerplate."""
+    rows = [(i, f"{i}7.5 {i}4 90{i}\n12.5 14 901\nrow {i} of the table of values") for i in range(9)] + [(20, "a1 b2 c3"), (21, "a1  b2 c4"), (None, "1 2 3")]
+    got = {r.doc_id: r.text for r in linetree.drop_common_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(f"{i}7.5 {i}4 90{i}" in got[i] for i in range(9)) and "12.5 14 901" in got[0] and "12.5 14 901" not in got[3] and "row 3" not in got[3]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, linetree.drop_common_lines(docs).collect()), key=repr) == by_sql(rows)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    docs = spark.createDataFrame([(i, "the same line in all", "a", "b", "c", "d") for i in range(6)], "doc_id bigint, text string, _row string, _gone string, doc string, `x.y` string")
+    got = linetree.drop_common_lines(docs)
+    assert got.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert {(r["_row"], r["_gone"], r["doc"], r["x.y"]) for r in got.collect()} == {("a", "b", "c", "d")}
