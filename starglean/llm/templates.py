@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, small_side, spread, stored
+from .common import let, row_key, small_side, spread, stored
 
 WINDOW = 5
 COVERAGE = 0.5
@@ -121,6 +121,14 @@ def consistent(met: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs`` in which no item is found; rows with a null ``doc_id`` are judged together."""
-    found = matches(docs, benchmark, coverage).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found._found), "left_anti")
+    """The rows of ``docs`` in which no item is found.
+
+    Each row is judged by its own text, also where rows share an id or have
+    none; rows that repeat both are judged alike.  All columns pass through,
+    whatever their names.
+    """
+    names = docs.columns
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("doc_id"), "text")
+    found = matches(texts, benchmark, coverage).select(F.col("doc_id").alias("row")).distinct()
+    return keyed.join(found, "row", "left_anti").select(*[F.col(f"doc.`{c}`").alias(c) for c in names])

@@ -96,3 +96,12 @@ def test_documents_equal_brute_force(spark, sf):
     got = {(r.doc_id, r.item_id) for r in templates.matches(docs, bench).collect()}
     expected = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
     assert got == {(r[0], r[1]) for r in expected} and got
+
+
+def test_rows_without_an_id_are_judged_one_by_one(spark):
+    question = "How many apples did Anna buy at the market on Monday"
+    docs = spark.createDataFrame([(None, f"{question}?", "a"), (None, "A clean text that says nothing of the kind at all", "b"), (None, None, "c"),
+                                  (1, f"Well. {question}? Yes.", "d"), (1, "Another clean text under the same id as before", "e")], "doc_id bigint, text string, row string")
+    items = spark.createDataFrame([(7, question)], "item_id bigint, text string")
+    kept = templates.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and sorted(r["row"] for r in kept.collect()) == ["b", "c", "e"]
