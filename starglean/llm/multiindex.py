@@ -6,7 +6,10 @@ the order of what they can still hold: a near copy lies at most ``reach`` away
 in some direction, so the chance that it fell beyond the boundary towards
 another codeword is known from the distance to that boundary, and the chance
 for a cell is the product over both halves (the multi-sequence order).  The
-traversal ends once the cells left out hold less than ``1 - recall``.
+traversal ends once the cells left out hold less than ``1 - recall``.  That
+reckons with differences in no preferred direction; asked for a recall of 1 the
+traversal takes every cell that a vector within ``reach`` can lie in at all,
+whatever the directions: one whose boundaries in both halves are near enough.
 
 Every vector is stored in the inverted list of its cell.  Lists are grouped by
 the first codeword and cut into blocks, visitors are cut into blocks too, and
@@ -65,16 +68,22 @@ def codebook(points: np.ndarray, size: int, draw: np.random.Generator) -> np.nda
     return centres
 
 
-def boundary_chances(points: np.ndarray, centres: np.ndarray, spread_: float) -> tuple[np.ndarray, np.ndarray]:
-    """Own codeword, and for each codeword the chance that a near copy lies beyond the boundary to it."""
+def boundary_gaps(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Own codeword, and the distance to the boundary towards each codeword; 0 for the own one."""
     squares = np.maximum((points**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * points @ centres.T, 0)
     own = np.argmin(squares, axis=1)
     apart = np.sqrt(np.maximum((centres**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * centres @ centres.T, 1e-30))
     rows = np.arange(len(points))
     gap = (squares - squares[rows, own][:, None]) / (2 * apart[own])
+    gap[rows, own] = 0.0
+    return own, gap
+
+
+def boundary_chances(own: np.ndarray, gap: np.ndarray, spread_: float) -> np.ndarray:
+    """For each codeword the chance that a near copy lies beyond the boundary to it."""
     chance = 0.5 * (1 - _erf(gap / (spread_ * sqrt(2))))
-    chance[rows, own] = 1.0
-    return own, chance
+    chance[np.arange(len(own)), own] = 1.0
+    return chance
 
 
 _GRID = np.linspace(0, 6, 1201)
@@ -96,6 +105,14 @@ def visited_cells(chance_a: np.ndarray, chance_b: np.ndarray, missed: float) ->
     return a[i], b[j]
 
 
+def reachable_cells(gap_a: np.ndarray, gap_b: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """All cells of one row that can hold something within ``reach``: crossing both boundaries takes the root of both squares."""
+    room = reach * (1 + 1e-9) + 1e-9
+    a, b = np.flatnonzero(gap_a <= room), np.flatnonzero(gap_b <= room)
+    i, j = np.nonzero(np.add.outer(gap_a[a] ** 2, gap_b[b] ** 2) <= room * room)
+    return a[i], b[j]
+
+
 def can_link() -> Column:
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & good & F.exists("embedding", lambda x: x != 0), F.lit(False))
@@ -144,12 +161,14 @@ def traverse(vectors: DataFrame, grid: Grid, cosine: float, recall: float) -> Da
         def work(batch: pa.RecordBatch):
             unit = unit_rows(batch.column(2))
             ids, weights = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            (own_a, a), (own_b, b) = (boundary_chances(points, centres, spread_) for centres, points in grid.halves(unit))
+            (own_a, gap_a), (own_b, gap_b) = (boundary_gaps(points, centres) for centres, points in grid.halves(unit))
+            if recall < 1:
+                a, b = boundary_chances(own_a, gap_a, spread_), boundary_chances(own_b, gap_b, spread_)
             wide = len(grid.second)
             out: list[list] = [[], [], [], [], []]
             for row in range(len(unit)):
                 home = own_a[row] * wide + own_b[row]
-                i, j = visited_cells(a[row], b[row], 1 - recall)
+                i, j = visited_cells(a[row], b[row], 1 - recall) if recall < 1 else reachable_cells(gap_a[row], gap_b[row], reach)
                 cell = np.unique(np.append(i * wide + j, home))
                 cell = cell[cell >= home]
                 first = cell // wide

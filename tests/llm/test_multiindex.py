@@ -69,3 +69,19 @@ def test_traversal_visits_until_the_rest_is_small():
     i, j = multiindex.visited_cells(a, b, 0.01)
     left = np.outer(a, b).sum() - (a[i] * b[j]).sum()
     assert left < 0.01 and (i[0], j[0]) == (0, 1)
+
+
+def test_recall_of_one_finds_links_in_any_direction(spark):
+    """Differences along one axis, vectors near a circle, a falling spectrum: the traversal by bounds loses none."""
+    rng = np.random.default_rng(44)
+    base = rng.normal(size=(500, 16))
+    axis = np.concatenate([base, base + np.eye(16)[rng.integers(16, size=500)] * rng.uniform(0.5, 1.6, (500, 1))])
+    angle = rng.uniform(0, 2 * np.pi, 600)
+    circle = np.concatenate([np.stack([np.cos(angle), np.sin(angle)], 1), rng.normal(0, 0.05, (600, 14))], axis=1)
+    spectrum = rng.normal(size=(700, 16)) / np.arange(1, 17)
+    for x in (axis, circle, spectrum):
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        near = unit @ unit.T >= 0.95
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+        got = {r.vec_id: r.n_links for r in multiindex.links(df, recall=1.0).collect()}
+        assert got == dict(enumerate((near.sum(1) - 1).tolist()))
