@@ -319,6 +319,23 @@ def _(spark, sf):
     return analysis.contingency(clusters)
 
 
+@query("i20_signature_clusters")
+def _(spark, sf):
+    """Ten starts of k-means, and DBSCAN and density clusters of the reduction, on the signatures of all documents."""
+    return jobs.signature_clusters(jobs.minhash_table(_cleaned(spark, sf)), dims=5)[0]
+
+
+@query("i20_signature_noise", f"WITH {REVIEWS} SELECT unnest(['cluster_dbscan', 'cluster_density', 'cluster_kmeans']) AS method, count(*) AS rows, TRUE AS adds_up FROM reviews")
+def _(spark, sf):
+    """Whether the noise and the clusters reported are those of the labels, and all rows are labelled once."""
+    labels, scores = jobs.signature_clusters(jobs.minhash_table(_cleaned(spark, sf)), dims=5)
+    long = labels.select(F.explode(F.create_map(*[x for c in ("cluster_kmeans", "cluster_dbscan", "cluster_density") for x in (F.lit(c), F.col(c))])).alias("method", "label"))
+    again = long.groupBy("method").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") == -1).alias("noisy"), F.count_distinct(F.when(F.col("label") >= 0, F.col("label"))).alias("found"))
+    good = (F.col("noisy") == F.col("noise")) & (F.col("found") == F.col("clusters")) & ((F.col("clusters") < 2) == F.col("dbi").isNull())
+    return again.join(scores, "method").select("method", "rows", good.alias("adds_up"))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 def _stream(spark, sf):
