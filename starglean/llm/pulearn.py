@@ -92,8 +92,8 @@ def fit(positive: pa.Array | None, unlabelled: pa.Array | None, prior: float) ->
     p_flat, p_bounds = pack(positive)
     u_flat, u_bounds = pack(unlabelled)
     chosen = informative(p_flat, len(positive), u_flat, len(unlabelled))
-    place = np.full(FEATURES, -1)
-    place[chosen] = np.arange(len(chosen))
+    place = np.full(FEATURES, -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
     p_flat, p_bounds = renamed(p_flat, p_bounds, place)
     u_flat, u_bounds = renamed(u_flat, u_bounds, place)
     size = len(chosen)
@@ -124,17 +124,27 @@ def fit(positive: pa.Array | None, unlabelled: pa.Array | None, prior: float) ->
 
 def informative(p_flat: np.ndarray, n_p: int, u_flat: np.ndarray, n_u: int) -> np.ndarray:
     """Features whose rates among positive and unlabelled texts clearly differ."""
-    in_p, in_u = np.bincount(p_flat, minlength=FEATURES), np.bincount(u_flat, minlength=FEATURES)
+    in_p, in_u = occurrences(p_flat), occurrences(u_flat)
     rate = (in_p + in_u) / (n_p + n_u)
     error = np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n_p + 1 / n_u))
     return np.flatnonzero((np.abs(in_p / n_p - in_u / n_u) >= LEAST_Z * error) & (in_p + in_u > 2))
 
 
+def occurrences(flat: np.ndarray) -> np.ndarray:
+    """How often each feature is listed; in slices, since counting widens what it counts."""
+    total = np.zeros(FEATURES, np.int64)
+    for at in range(0, len(flat), FEATURES):
+        total += np.bincount(flat[at : at + FEATURES], minlength=FEATURES)
+    return total
+
+
 def renamed(flat: np.ndarray, bounds: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows with only the features that have a place."""
     new = place[flat]
-    kept = np.concatenate([[0], np.cumsum(new >= 0)])
-    return new[new >= 0], kept[bounds]
+    there = new >= 0
+    kept = np.zeros(len(flat) + 1, np.int32 if len(flat) < 1 << 31 else np.int64)
+    np.cumsum(there, out=kept[1:])
+    return new[there], kept[bounds].astype(np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
