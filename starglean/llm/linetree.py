@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, small_side, spread, stored
+from .common import let, row_key, small_side, spread, stored
 
 MIN_DOCS = 5
 MIN_TOKENS = 3
@@ -35,10 +35,10 @@ def masked_line(line: Column) -> Column:
     """The tokens of a line with single spaces between them, variable fields masked."""
     spaced = F.array_remove(F.split(F.replace(line, F.lit("\t"), F.lit(" ")), " "), "")
     masked = F.transform(spaced, lambda t: F.when(t.rlike(VARIABLE), FIELD).otherwise(t))
-    plain = F.array_join(spaced, " ")
-    constant = F.exists(spaced, lambda t: ~t.rlike(VARIABLE))
     as_is = ~(line.contains("  ") | line.contains("\t") | line.startswith(" ") | line.endswith(" ") | line.rlike(VARIABLE))
-    return F.when(as_is, line).when(~constant, plain).otherwise(F.array_join(masked, " "))
+    fields_only = lambda m: (F.replace(F.replace(m, F.lit(FIELD), F.lit("")), F.lit(" "), F.lit("")) == "") & ~line.contains(FIELD)
+    kept = let(F.array_join(masked, " "), lambda m: F.when(fields_only(m), F.array_join(spaced, " ")).otherwise(m))
+    return F.when(as_is, line).otherwise(kept)
 
 
 def placed_lines(docs: DataFrame, min_tokens: int) -> DataFrame:
