@@ -54,7 +54,19 @@ def require_path(spark: SparkSession, path: str) -> str:
     return path
 
 
+def named_entries(spark: SparkSession, folder: str, pattern: str) -> tuple[list[str], list[str]]:
+    """Files, and folders of part files (not partitions ``k=v``), that ``pattern`` names in ``folder``."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, pattern)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place) or []
+    tables = [f.getPath().toString() for f in found if f.isDirectory() and "=" not in f.getPath().getName()]
+    return [f.getPath().toString() for f in found if f.isFile()], tables
+
+
 def read_parquet_folder(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """All that ``pattern`` names in ``folder``: files, or folders of part files as Spark writes a table."""
+    flat, tables = named_entries(spark, folder, pattern)
+    if tables:
+        return spark.read.parquet(*flat, *tables)
     return spark.read.option("pathGlobFilter", pattern).parquet(folder)
 
 

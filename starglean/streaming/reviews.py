@@ -15,13 +15,17 @@ from ..operators.filters import in_language
 from ..operators.language import Profiles, tag_language
 from ..plans.jobs import embed_rows
 from ..schema import KEY, SCORE
+from ..sources.files import named_entries
 
 
 def read_folder(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """A stream of the files that ``pattern`` names in ``folder``, or of the part files in folders that it names."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    if named_entries(spark, folder, pattern)[1]:
+        return reader.parquet(f"{folder.rstrip('/')}/{pattern}")
+    return reader.option("pathGlobFilter", pattern).parquet(folder)
 
 
 def filter_language(stream: DataFrame, profiles: Profiles, text: str, out: str, checkpoint: str, language: str = "en", min_tokens: int = 1) -> None:

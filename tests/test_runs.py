@@ -73,3 +73,31 @@ def test_a_model_too_large_to_ship_is_an_error(spark, monkeypatch):
     df = spark.createDataFrame([("en", "the cat sat on the mat")], "lang string, text string")
     with pytest.raises(ValueError):
         language.train_profiles(df, "text", features=None)
+
+
+def test_tables_written_as_folders_of_parts_are_scanned_and_streamed(spark):
+    """The supplied tables are single files at small sizes and folders of part files at large ones."""
+    from starglean.sources import files
+    from starglean.streaming.reviews import read_folder
+
+    folder = scratch_path(spark, "tables")
+    rows = spark.range(40).selectExpr("id", "concat('text ', id) AS text")
+    rows.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    rows.limit(2).write.parquet(f"{folder}/labels.parquet")
+    found = files.read_parquet_folder(spark, folder, "documents.parquet")
+    assert sorted(r["id"] for r in found.collect()) == list(range(40))
+    assert len(files.first_files(spark, folder, 2, "documents.parquet").inputFiles()) == 2
+    out, progress = scratch_path(spark, "out"), scratch_path(spark, "progress")
+    for _ in range(2):  # the second start finds nothing new
+        stream = read_folder(spark, folder, rows.schema, "documents.parquet")
+        stream.writeStream.format("parquet").option("checkpointLocation", progress).trigger(availableNow=True).start(out).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(40))
+
+
+def test_single_files_and_partitions_are_still_read(spark):
+    from starglean.sources import files
+
+    folder = scratch_path(spark, "flat")
+    spark.range(10).selectExpr("id", "id % 2 AS k").write.partitionBy("k").parquet(folder)
+    assert sorted(map(tuple, files.read_parquet_folder(spark, folder).collect())) == [(i, i % 2) for i in range(10)]
+    assert sorted(map(tuple, files.read_parquet_folder(spark, folder, "*").collect())) == [(i, i % 2) for i in range(10)]
