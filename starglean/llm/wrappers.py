@@ -20,7 +20,7 @@ import hashlib
 import html
 import json
 import re
-from difflib import SequenceMatcher
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -58,8 +58,6 @@ ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 PART = re.compile(r"[a-z0-9]+")
 #: Longer constant texts of a wrapper are kept as a digest of the whole text.
 CONSTANT = 40
-#: A host's wrapper is not aligned beyond this many parts; its places and their constants are still all kept.
-PARTS = 400
 #: A block is part of the host's template if this many different pages of the host have it, and this share of them.
 SEEN = 5
 SHARE = 0.5
@@ -229,15 +227,57 @@ def joined(a: list, b: list) -> list:
     return ["?", [both]] if optional else both
 
 
+def numbered(wrapper: list) -> list[tuple[str, int]]:
+    """What each part stands for, and how often that stood before it."""
+    met: dict[str, int] = {}
+    out = []
+    for name in map(core, wrapper):
+        met[name] = met.get(name, 0) + 1
+        out.append((name, met[name]))
+    return out
+
+
+def rising(values: list[int]) -> list[int]:
+    """Indices of a longest rising run of ``values``, which are all different."""
+    ends: list[int] = []
+    last: list[int] = []
+    before = []
+    for k, value in enumerate(values):
+        at = bisect_left(ends, value)
+        before.append(last[at - 1] if at else -1)
+        ends[at : at + 1] = [value]
+        last[at : at + 1] = [k]
+    out, k = [], last[-1] if last else -1
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return out[::-1]
+
+
+def optional(part: list) -> list:
+    return part if part[0] == "?" else ["?", [part]]
+
+
 def merge(a: list, b: list) -> list:
-    """Align two wrappers; what only one of them has is optional."""
-    matcher = SequenceMatcher(None, list(map(core, a)), list(map(core, b)), autojunk=False)
+    """Align two wrappers of any size; what only one of them has, or has in another order, is optional.
+
+    Parts are told apart by what they stand for and its number, and the most of
+    them that keep their order are aligned.  No part comes twice, so a wrapper
+    is no longer than all that its pages hold.
+    """
+    at = {name: k for k, name in enumerate(numbered(b))}
+    partner = {i: at[name] for i, name in enumerate(numbered(a)) if name in at}
+    pairs = list(partner.items())
+    aligned = [pairs[k] for k in rising([j for _, j in pairs])]
+    shared = set(partner.values())
     out: list = []
-    for what, i, j, k, m in matcher.get_opcodes():
-        if what == "equal":
-            out += [joined(x, y) for x, y in zip(a[i:j], b[k:m])]
-        else:
-            out += [p if p[0] == "?" else ["?", [p]] for p in a[i:j] + b[k:m]]
+    i = j = 0
+    for x, y in [*aligned, (len(a), len(b))]:
+        out += [optional(joined(a[k], b[partner[k]]) if k in partner else a[k]) for k in range(i, x)]
+        out += [optional(b[k]) for k in range(j, y) if k not in shared]
+        if x < len(a):
+            out.append(joined(a[x], b[y]))
+        i, j = x + 1, y + 1
     return fold(out)
 
 
@@ -250,22 +290,7 @@ def wrapper_of(blocks: list[tuple[str, str]]) -> list:
 
 
 def absorb(wrapper: list | None, other: list) -> list:
-    """Merge unless the wrapper is at its size; then new places are added and constants that differ become slots."""
-    if wrapper is None:
-        return other
-    if len(wrapper) <= PARTS and len(other) <= PARTS:
-        return merge(wrapper, other)
-    known, found = set(places(wrapper)), places(other)
-    wrapper = loosened(wrapper, found)
-    for place, constant in found.items():
-        if place not in known:
-            wrapper.append(["?", [["t", place, constant]]])
-    return wrapper
-
-
-def loosened(wrapper: list, found: dict[str, str | None]) -> list:
-    """``wrapper`` with a slot for each constant whose place has another text in ``found``."""
-    return [["t", p[1], p[2] if found.get(p[1], p[2]) == p[2] else None] if p[0] == "t" else [p[0], loosened(p[1], found)] for p in wrapper]
+    return other if wrapper is None else merge(wrapper, other)
 
 
 def places(wrapper: list) -> dict[str, str | None]:

@@ -109,3 +109,16 @@ def test_broken_pages_take_linear_time():
         start = time.perf_counter()
         wrappers.blocks_of("<p>text</p>" + broken * 200_000)
         assert time.perf_counter() - start < 5, broken
+
+
+def test_wrappers_are_aligned_at_any_size():
+    for n in (6, 450):
+        one, two = (wrappers.wrapper_of([(f"p.{k}", f"{k} {i if k % 2 else 0}") for k in range(n)]) for i in range(2))
+        two.insert(3, ["t", "div.new", "new"])
+        got = wrappers.absorb(one, two)
+        assert [wrappers.core(p) for p in got[:5]] == ["p.0", "p.1", "p.2", "div.new", "p.3"] and got[3] == ["?", [["t", "div.new", "new"]]]
+        assert len(got) == n + 1 and got[0] == ["t", "p.0", "0 0"] and got[-1] == ["t", f"p.{n - 1}", None]
+    # Two orders of the same parts: none comes twice, those out of order are optional.
+    many = [["t", f"p.{k}", None] for k in range(500)]
+    assert sorted(map(wrappers.core, wrappers.absorb(many, many[::-1]))) == sorted(map(wrappers.core, many))
+    assert wrappers.rising([5, 1, 2, 9, 3]) == [1, 2, 4] and wrappers.rising([]) == []
