@@ -219,3 +219,28 @@ def test_density_takes_any_key(spark, cloud):
     wide = frame(spark, cloud[:40]).withColumn("review_id", F.col("review_id") + F.lit(2**62))
     large = density.density_clusters(wide, 5, 3)
     assert sorted((r["review_id"] - 2**62, r["cluster"]) for r in large.collect()) == sorted((r["review_id"], r["cluster"]) for r in small.collect())
+
+
+def test_vectors_travel_a_bounded_number_of_times():
+    """As cells grow in number, the regions that vectors are sent to do not; a hot cell is a region of its own."""
+    from starglean.operators import space
+
+    rng = np.random.default_rng(5)
+    for cells in (40, 400, 1600):
+        sizes = rng.integers(1, 4000, cells).astype(float)
+        region = space.group_cells(rng.normal(size=(cells, 8)), sizes, int(sizes.sum()) * 4 // (3 * space.REGIONS))
+        assert 8 <= region.max() + 1 <= 2 * space.REGIONS and (np.bincount(region) > 0).all()
+    assert space.group_cells(np.array([[0.0], [1.0], [9.0]]), np.array([1.0, 2.0, 900.0]), 5).tolist() in ([0, 0, 1], [1, 1, 0])
+
+
+def test_each_query_meets_the_cells_it_visits():
+    import pyarrow as pa
+
+    from starglean.operators import space
+
+    rng = np.random.default_rng(6)
+    q, x = rng.normal(size=(30, 3)), rng.normal(size=(40, 3))
+    cell = np.sort(rng.integers(0, 6, 40))
+    visits = [sorted(rng.choice(6, rng.integers(0, 7), replace=False).tolist()) for _ in q]
+    found = sorted((int(i), int(j)) for qi, xi, _ in space.near_pairs(q, x, np.full(30, 1.2), space._parts(pa.array(visits, pa.list_(pa.int32())), cell)) for i, j in zip(qi, xi))
+    assert found == [(i, j) for i in range(30) for j in range(40) if cell[j] in visits[i] and np.linalg.norm(q[i] - x[j]) <= 1.2]
