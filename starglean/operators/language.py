@@ -136,15 +136,20 @@ def scores_by_join(df: DataFrame, key: str, text: str, counts: DataFrame, added:
     """``key, lang, score`` for a model of any size: the trigrams of all rows meet the counts table.
 
     Rows without a trigram have no score.  A frequent trigram is counted within
-    its row first, and the join is one that adaptive execution can split.
+    its row first, and the join is one that adaptive execution can split.  The
+    model's side has one row per trigram, so no row is multiplied by languages.
     """
     grams = df.select(key, F.explode(trigrams(F.col(f"`{text}`"))).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("c"))
-    grams = cut_lineage(grams)
-    gains = grams.join(counts.select("gram", "lang", F.log(F.col("n") + 1.0).alias("gain")), "gram").groupBy(key, "lang").agg(F.sum(F.col("c") * F.col("gain")).alias("gain"))
     totals = counts.groupBy("lang").agg(F.first("total").alias("total")).collect()
-    floors = F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), F.lit(-math.log(r["total"] + added)).alias("floor")) for r in totals])
-    sizes = grams.groupBy(key).agg(F.sum("c").alias("m")).select(key, "m", F.inline(floors))
-    return sizes.join(gains, [key, "lang"], "left").select(key, "lang", (F.coalesce("gain", F.lit(0.0)) + F.col("m") * F.col("floor")).alias("score"))
+    # One row per trigram with its gains in all languages, so that a row's trigrams meet each one once.
+    gain = lambda name: F.sum(F.when(F.col("lang") == name, F.log(F.col("n") + 1.0)))
+    model = counts.groupBy("gram").agg(F.array(*[F.coalesce(gain(r["lang"]), F.lit(0.0)) for r in totals]).alias("gains"))
+    met = grams.join(model, "gram", "left").groupBy(key).agg(
+        F.sum("c").alias("m"), *[F.sum(F.col("c") * F.col("gains")[i]).alias(f"_gain{i}") for i in range(len(totals))])
+    # Rows without a key have no gains: they meet no others.
+    known = lambda i: F.coalesce(F.when(F.col(key).isNotNull(), F.col(f"_gain{i}")), F.lit(0.0))
+    scores = [F.struct(F.lit(r["lang"]).alias("lang"), (known(i) + F.col("m") * F.lit(-math.log(r["total"] + added))).alias("score")) for i, r in enumerate(totals)]
+    return met.select(key, F.inline(F.array(*scores)))
 
 
 def tag_language(df: DataFrame, profiles: Profiles, text: str, min_tokens: int = 1, out: str = "lang") -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from starglean.session import cut_lineage
 from starglean.operators import language
 from starglean.plans import jobs
 from starglean.schema import CLEAN, ITEM, KEY, SCORE, with_review_id
@@ -68,6 +69,17 @@ def test_language_scores_agree_and_odd_texts_have_none(spark):
     assert tags[0] == "en" and tags[1] == "de" and tags[5] == "fr" and tags[2] == tags[3] == tags[4] == "unknown"
 
 
+def test_a_trigram_meets_the_model_once_whatever_the_languages(spark):
+    rows = [(i, f"l{i % 9}", "the same words") for i in range(18)] + [(None, "l1", "the same words")]
+    df = spark.createDataFrame(rows, "id long, lang string, text string")
+    counts = cut_lineage(language.profile_counts(df, "text"))
+    scored = language.scores_by_join(df.drop("lang"), "id", "text", counts, 12)
+    found = {(r["id"], r["lang"]): r["score"] for r in scored.collect()}
+    assert len(found) == 19 * 9 and found[0, "l3"] == pytest.approx(found[5, "l3"])
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
 def test_a_model_too_large_to_ship_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(language, "MODEL_BYTES", 100)
     df = spark.createDataFrame([("en", "the cat sat on the mat")], "lang string, text string")
