@@ -244,3 +244,14 @@ def test_each_query_meets_the_cells_it_visits():
     visits = [sorted(rng.choice(6, rng.integers(0, 7), replace=False).tolist()) for _ in q]
     found = sorted((int(i), int(j)) for qi, xi, _ in space.near_pairs(q, x, np.full(30, 1.2), space._parts(pa.array(visits, pa.list_(pa.int32())), cell)) for i, j in zip(qi, xi))
     assert found == [(i, j) for i in range(30) for j in range(40) if cell[j] in visits[i] and np.linalg.norm(q[i] - x[j]) <= 1.2]
+
+
+def test_a_vector_is_sent_to_a_dozen_blocks_or_so():
+    """Regions that a query visits, and blocks of visitors that a row is sent to, in a space without pruning."""
+    from starglean.operators import space
+
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(1000, 3000, 200).astype(float)
+    rows = int(sizes.sum()) * 4 // (3 * space.REGIONS)
+    regions = space.group_cells(rng.normal(size=(200, 8)), sizes, rows).max() + 1
+    assert regions + np.ceil(sizes.sum() / rows) <= 16
