@@ -1,5 +1,6 @@
 """Literal rows for what the supplied texts do not contain."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,17 @@ def test_label_prefix_and_part_number(spark):
     assert one(spark, "__label__en", t.strip_label_prefix) == "en"
     assert one(spark, "part-00017.parquet", t.part_number) == 17
     assert one(spark, "other.parquet", t.part_number) is None
+
+
+def test_word_hashes_of_a_column_are_those_of_single_words(monkeypatch):
+    def one_by_one(data, seed=0):
+        raise AssertionError("hashed on its own")
+
+    words = ["", "a", "ab", "abc", "abcd", "é" * 7, "😀", "\x00", "x" * 101] * 20
+    want = [hashing.murmur3_32(w.encode()) for w in words]
+    long = ["y" * 4003, "z" * 9]
+    assert hashing.murmur3_all(pa.array(words + long)).tolist() == [*want, *(hashing.murmur3_32(w.encode()) for w in long)]
+    assert hashing.murmur3_all(pa.array(words).slice(3, 9)).tolist() == want[3:12]
+    assert hashing.murmur3_all(pa.array([], pa.string())).tolist() == []
+    monkeypatch.setattr(hashing, "murmur3_32", one_by_one)
+    assert hashing.murmur3_all(pa.array(words)).tolist() == want
