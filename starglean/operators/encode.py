@@ -16,7 +16,7 @@ from pyspark.sql.functions import arrow_udf
 from ..functions.hashing import md5_hash32
 from ..functions.text import words
 from ..functions.vectors import doubles, expected_class, list_column, softmax
-from ..session import costly, scratch_path
+from ..session import costly, cut_lineage, scratch_path
 
 #: Loads a model in a Python worker and returns the function applied to each batch.
 PredictFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
@@ -62,9 +62,10 @@ def fit_class_model(df: DataFrame, label: str, embedding: str = "embedding", max
 
     The model is stored and read again: as fitted it also holds a summary of its
     training, session included, which cannot go to tasks once a write is observed.
+    Embeddings are cut off first: fitting reads its rows more than once.
     """
-    data = df.filter(F.col(label).isNotNull()).select(
-        F.col(label).cast("double").alias("label"), array_to_vector(doubles(F.col(embedding))).alias("features"))
+    rows = cut_lineage(df.filter(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("label"), doubles(F.col(embedding)).alias("vec")))
+    data = rows.select("label", array_to_vector("vec").alias("features"))
     path = scratch_path(df.sparkSession, "class-model")
     LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial").fit(data).save(path)
     return LogisticRegressionModel.load(path)

@@ -113,3 +113,20 @@ def test_single_files_and_partitions_are_still_read(spark):
     spark.range(10).selectExpr("id", "id % 2 AS k").write.partitionBy("k").parquet(folder)
     assert sorted(map(tuple, files.read_parquet_folder(spark, folder).collect())) == [(i, i % 2) for i in range(10)]
     assert sorted(map(tuple, files.read_parquet_folder(spark, folder, "*").collect())) == [(i, i % 2) for i in range(10)]
+
+
+def test_fitting_a_class_model_makes_each_embedding_once(spark):
+    from pyspark.sql import functions as F
+
+    from starglean.operators import encode
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def embedded(i):
+        made.add(1)
+        return [float(i % 3), float(i % 2)]
+
+    rows = spark.range(40).select((F.col("id") % 2).alias("label"), embedded.asNondeterministic()("id").alias("embedding"))
+    encode.fit_class_model(rows, "label")
+    assert made.value == 40
