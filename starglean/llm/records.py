@@ -21,22 +21,26 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .bpe import WORD, Pieces, Remembered, byte_names, read_vocabulary
-from .common import map_batches, texts_of
+from .bpe import REMEMBERED, SPACES, WORD, byte_names, read_vocabulary
+from .common import map_batches
 
 # Fixed value: the constant of masked checksums in length-delimited record files.
 MASK_DELTA = 0xA282EAD8
 #: A task starts a new shard once the present one has this many bytes.
 SHARD_BYTES = 8 << 20
+#: Texts that are cut into pieces at once, in bytes; one text may have more.
+TEXT_BYTES = 4 << 20
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<qBB")
 CHECK = struct.Struct("<I")
@@ -66,13 +70,40 @@ def read_frame(data: bytes, at: int) -> tuple[int | None, np.ndarray, int]:
     return None if none else doc_id, np.frombuffer(body, f"<u{width}", offset=BODY.size), start + size + CHECK.size
 
 
+class Memory:
+    """Results of ``make`` for lists of keys, kept while they are in use, as :class:`.bpe.Remembered` does for single ones."""
+
+    def __init__(self, make: Callable[[list[str]], list[bytes | None]]) -> None:
+        self.make = make
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def of(self, keys: list[str]) -> list[bytes | None]:
+        if len(self.young) >= REMEMBERED // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        missing = {k for k, value in zip(keys, found) if value is None}
+        if not missing:
+            return found
+        again = missing & old.keys()
+        young.update(zip(again, map(old.__getitem__, again)))
+        new = list(missing - again)
+        young.update(zip(new, self.make(new)))
+        return list(map(young.__getitem__, keys))
+
+
 class LibraryEncoder:
     """Ids by the tokenizers library; pieces and words met before are not encoded again.
 
     Ids are kept as 32-bit integers side by side, the least that a remembered
-    piece can take.  With a byte-level pre-tokenizer and no normalizer, a new
-    piece is cut into words and the library's model encodes each new word;
+    piece can take.  With a byte-level pre-tokenizer and no normalizer, new
+    pieces are cut into words and the library's model encodes each new word;
     other tokenizers, and pieces with a special token, encode pieces as a whole.
+
+    Texts go in batches: each distinct piece of a batch (see :class:`.bpe.Pieces`
+    for where texts may be cut) is looked up once, all new ones are cut into
+    words together, and the ids are put in place by array operations.
     """
 
     def __init__(self, file: bytes) -> None:
@@ -89,8 +120,9 @@ class LibraryEncoder:
         self.names = {b: name for name, b in byte_names().items()}
         self.word = regex.compile(WORD)
         self.model = self.tokenizer.model
-        self.words = Remembered(self.one)
-        self.pieces = Pieces(self.piece, added)
+        self.words = Memory(self.new_words)
+        self.odd = (*SPACES, *added)
+        self.letters_are_words = self.by_words and not any(map(str.isalpha, added))
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
     @staticmethod
@@ -100,22 +132,88 @@ class LibraryEncoder:
     def whole(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def one(self, word: str) -> bytes:
-        spelled = word.encode("utf-8").decode("latin-1").translate(self.names)
-        return self.packed([t.id for t in self.model.tokenize(spelled)])
+    def new_words(self, words: list[str]) -> list[bytes]:
+        # The byte FF is in no UTF-8 text.
+        if not words:
+            return []
+        spelled = b"\xff".join([w.encode("utf-8") for w in words]).decode("latin-1").translate(self.names).split(self.names[0xFF])
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(word)]).tobytes() for word in spelled]
 
     def piece(self, piece: str) -> bytes:
         if not self.by_words or (self.special and self.special.search(piece)):
             return self.whole(piece)
-        return b"".join(map(self.words.__getitem__, self.word.findall(piece)))
+        return b"".join(self.words.of(self.word.findall(piece)))
+
+    def cut(self, pieces: list[str]) -> list[bytes | None]:
+        """Ids of pieces that follow a space, which goes with them; None for an odd piece, at which a text cannot be cut."""
+        out: list[bytes | None] = [None] * len(pieces)
+        one_word = [self.letters_are_words and p.isalpha() for p in pieces]
+        alone = [i for i, one in enumerate(one_word) if one]
+        for i, ids in zip(alone, self.words.of([" " + pieces[i] for i in alone])):
+            out[i] = ids
+        rest = [i for i, one in enumerate(one_word) if not one and pieces[i] and not pieces[i].startswith(self.odd)]
+        plain = [pieces[i] for i in rest]
+        joined = " " + " ".join(plain)
+        if not self.by_words or (self.special and self.special.search(joined)):
+            made = [self.piece(" " + p) for p in plain]
+        else:
+            # No piece holds a space or starts with white space, so the words with a space are those that start a piece.
+            words = self.word.findall(joined) if plain else []
+            starts = [i for i, w in enumerate(words) if w[0] == " "]
+            parts = self.words.of(words)
+            made = [parts[a] if b - a == 1 else b"".join(parts[a:b]) for a, b in pairwise([*starts, len(parts)])]
+        for i, ids in zip(rest, made):
+            out[i] = ids
+        return out
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(texts):
+            done = upto[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(upto, done + TEXT_BYTES, side="right")))
+            yield from self.encode_slice(texts.slice(start, end - start))
+            pa.default_memory_pool().release_unused()
+            start = end
+
+    def encode_slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        flat, sizes = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        heads = np.cumsum(sizes) - sizes
+        inner = np.ones(len(flat), bool)
+        inner[heads] = False
+        coded = flat.filter(pa.array(inner)).dictionary_encode()
+        made = self.cut(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        odd = np.array([ids is None for ids in made], bool)
+        made = [ids or b"" for ids in made]
+        # A text's first piece has no space before it.
+        unit = np.empty(len(flat), np.int64)
+        unit[inner] = coded.indices.to_numpy(zero_copy_only=False)
+        unit[heads] = len(made) + np.arange(len(heads))
+        made += [self.piece(p) if p else b"" for p in flat.take(pa.array(heads)).to_pylist()]
+        ids = np.frombuffer(b"".join(made), np.uint32)
+        count = np.fromiter(map(len, made), np.int64, len(made)) >> 2
+        del made, flat, coded
+        first, n = (np.cumsum(count) - count)[unit], count[unit]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+        places = np.repeat((first - (ends - n)).astype(kind), n)
+        places += np.arange(total, dtype=kind)
+        out = ids[places]
+        del places
+        bounds = np.append(0, ends)[np.append(heads, len(unit))]
+        uncut = np.zeros(len(heads), bool)
+        if odd.any():
+            uncut[np.repeat(np.arange(len(heads)), sizes)[inner][odd[unit[inner]]]] = True
+        for row, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+            yield np.frombuffer(self.whole(texts[row].as_py()), np.uint32) if uncut[row] else out[a:b]
 
     def encode(self, text: str) -> np.ndarray:
-        parts = self.pieces.of(text)
-        try:
-            ids = b"".join(parts)
-        except TypeError:  # a None among the parts
-            ids = self.whole(text)
-        return np.frombuffer(ids, np.uint32)
+        return next(self.encode_all(pa.array([text])))
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -197,8 +295,8 @@ def write_records(docs: DataFrame, path: str, end_id: int, folder: str | None =
         writer = ShardWriter(folder, TaskContext.get().partitionId())
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                ids = np.append(encoder.encode(text), np.uint32(end_id))
+            for doc_id, found in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
+                ids = np.append(found, np.uint32(end_id))
                 rows += writer.add(doc_id, ids, encoder.width if end_id < 1 << 16 else 4)
         if writer.offsets:
             rows.append(writer.close())

@@ -56,3 +56,46 @@ def test_offsets_reach_any_record(spark, monkeypatch):
         assert len(offsets) == row.records
         for at in offsets[::-1].tolist():
             records.read_frame(data, at)
+
+
+def test_a_batch_is_cut_into_words_at_once_as_the_library_does(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(byte_bpe_path())
+    special = [t.content for t in library.get_added_tokens_decoder().values()]
+    texts = [f" nowý{i}x {i} don't_{i}" for i in range(300)] + [
+        "", " ", "  ", " a  b", "a\n b", "a \n b\t c ", "x  y", "　z  ", "ß" * 50, "a 'll b's", "\x00 \x7f\xff", "😀 é😀", None]
+    texts += [f"{mark}{s}{mark}z{s} {s}" for s in special for mark in ("", " ", "  ", "a ", "\n")]
+    encoder = records.LibraryEncoder(records.read_vocabulary(byte_bpe_path()))
+
+    class Counted:
+        calls, pattern = 0, encoder.word
+
+        def findall(self, text):
+            self.calls += 1
+            return self.pattern.findall(text)
+
+    encoder.word = Counted()
+    for size in (1 << 20, 64, 1):
+        monkeypatch.setattr(records, "TEXT_BYTES", size)
+        found = [ids.tolist() for ids in encoder.encode_all(pa.array(texts))]
+        assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(records, "TEXT_BYTES", 1 << 20)
+    encoder.word.calls = 0
+    list(encoder.encode_all(pa.array([f" {i}q{i} r{i}" for i in range(500)])))
+    assert encoder.word.calls == 1
+
+
+def test_memory_forgets_what_is_not_asked_for(monkeypatch):
+    monkeypatch.setattr(records, "REMEMBERED", 6)
+    asked = []
+
+    def make(keys):
+        asked.extend(keys)
+        return [k.encode() for k in keys]
+
+    memory = records.Memory(make)
+    for keys in (["a", "b", "a", "c"], ["d", "a"], ["a", "e"], ["f"], ["a", "b"]):
+        assert memory.of(keys) == [k.encode() for k in keys]
+    assert sorted(asked) == ["a", "b", "b", "c", "d", "e", "f"]
