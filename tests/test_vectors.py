@@ -255,3 +255,35 @@ def test_a_vector_is_sent_to_a_dozen_blocks_or_so():
     rows = int(sizes.sum()) * 4 // (3 * space.REGIONS)
     regions = space.group_cells(rng.normal(size=(200, 8)), sizes, rows).max() + 1
     assert regions + np.ceil(sizes.sum() / rows) <= 16
+
+
+def test_a_vector_is_sent_to_as_many_blocks_in_a_small_space_as_in_a_large_one():
+    from starglean.operators import space
+
+    rng = np.random.default_rng(8)
+    for cells in (8, 16, 64, 256):
+        built = space.Space(rng.normal(size=(cells, 64)), None, np.full(cells, 2048.0))
+        rows = space.block_size(built)
+        regions = space.group_cells(built.pivots, built.sizes, rows).max() + 1
+        assert regions + np.ceil(cells * 2048 / rows) == 14
+
+
+def test_vectors_exact_in_single_precision_travel_as_floats(spark):
+    rng = np.random.default_rng(9)
+    exact = np.concatenate([rng.normal(size=(70, 4)).astype(np.float32).astype(float), np.tile([[0.5, -2.0, 0.0, 3.0]], (9, 1))])
+    for points, kind in ((exact, "array<float>"), (exact + 1e-12, "array<double>"), (exact * 1e60, "array<double>")):
+        copies = collapse_copies(frame(spark, points), "review_id")
+        assert dict(copies.points.dtypes)["vec"] == kind and (copies.rows, copies.size) == (79, 71)
+        assert np.array([r["vec"] for r in copies.points.orderBy("point").collect()]).tolist() == points[:71].tolist()
+        d = distances(points)
+        for where in ({}, MANY_CELLS):
+            found = {(r["review_id"], r["rank"]): (r["neighbour"], r["distance"]) for r in neighbors.knn(frame(spark, points), 3, **where).collect()}
+            for i in range(len(points)):
+                best = sorted((d[i, j], j) for j in range(len(points)))[:3]
+                assert [found[i, n + 1][0] for n in range(3)] == [j for _, j in best]
+                assert np.allclose([found[i, n + 1][1] for n in range(3)], [x for x, _ in best], rtol=1e-12, atol=0)
+
+
+def test_a_component_that_differs_beyond_single_precision_is_no_copy(spark):
+    copies = collapse_copies(frame(spark, [[1.0, 2.0], [1.0 + 1e-12, 2.0], [1.0, 2.0]]), "review_id")
+    assert copies.size == 2 and sorted(tuple(r) for r in copies.members.collect()) == [(0, 0), (1, 1), (2, 0)]
