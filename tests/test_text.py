@@ -99,3 +99,12 @@ def test_word_hashes_of_a_column_are_those_of_single_words(monkeypatch):
     assert hashing.murmur3_all(pa.array([], pa.string())).tolist() == []
     monkeypatch.setattr(hashing, "murmur3_32", one_by_one)
     assert hashing.murmur3_all(pa.array(words)).tolist() == want
+
+
+def test_narrowed_classes_hold_the_same_characters(spark):
+    """Every character of the basic plane and some beyond, one row each."""
+    codes = [c for c in [*range(0x10000), 0x1D7CE, 0x1F600, 0x20000, 0x10FFFF] if not 0xD800 <= c <= 0xDFFF]
+    rows = spark.createDataFrame([(chr(c),) for c in codes], "x string")
+    plain = {t.SPACE: f"[{t.SPACES}]", t.PUNCTUATION: rf"[^\p{{L}}\p{{N}}_{t.SPACES}]", t.DIGITS: r"\p{Nd}+"}
+    for new, old in plain.items():
+        assert rows.filter(F.col("x").rlike(new) != F.col("x").rlike(old)).count() == 0
