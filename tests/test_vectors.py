@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starglean.operators import components, dbscan, density, kmeans, metrics, neighbors, reduce
-from starglean.operators.space import collapse_copies
+from starglean.operators.space import collapse_copies, near_pairs
 
 MANY_CELLS = {"cell_rows": 12, "block_rows": 9}
 DOUBLE_ROWS = "review_id long, vec array<double>"
@@ -287,3 +287,38 @@ def test_vectors_exact_in_single_precision_travel_as_floats(spark):
 def test_a_component_that_differs_beyond_single_precision_is_no_copy(spark):
     copies = collapse_copies(frame(spark, [[1.0, 2.0], [1.0 + 1e-12, 2.0], [1.0, 2.0]]), "review_id")
     assert copies.size == 2 and sorted(tuple(r) for r in copies.members.collect()) == [(0, 0), (1, 1), (2, 0)]
+
+
+def test_components_in_one_task_and_by_steps(spark):
+    draw = np.random.default_rng(11)
+    edges = spark.createDataFrame(draw.integers(0, 60, (40, 2)).tolist() + [[7, 7], [90, 91], [91, 90]], "src long, dst long")
+    one, steps = (sorted(map(tuple, components.components(edges, task_edges=most).collect())) for most in (components.TASK_EDGES, 0))
+    assert one == steps and (91, 90) in one
+
+
+@pytest.mark.parametrize("kind", ["float32", "float64"])
+def test_streamed_packs_give_the_nearest(spark, monkeypatch, kind):
+    """Vectors that all cells must look into pass by in packs; copies and outliers among them."""
+    draw = np.random.default_rng(12)
+    points = draw.random((150, 20)).astype(kind).astype(float)
+    points[:5], points[5:10] = points[20:25], points[5:10] + 50
+    d, k, streamed = distances(points), 7, []
+    monkeypatch.setattr(neighbors, "STREAM_ROWS", 0)
+    monkeypatch.setattr(neighbors, "PACK_ROWS", 40)
+    monkeypatch.setattr(neighbors, "_streamed", lambda *given, inner=neighbors._streamed: streamed.append(1) or inner(*given))
+    got = {}
+    for r in neighbors.knn(frame(spark, points), k, **MANY_CELLS).collect():
+        got.setdefault(r["review_id"], {})[r["rank"]] = r["neighbour"]
+    assert streamed
+    for i in range(len(points)):
+        assert [got[i][n + 1] for n in range(k)] == sorted(range(len(points)), key=lambda j: (d[i, j], j))[:k]
+
+
+@pytest.mark.parametrize("scale", [1e-12, 1.0, 1e9])
+def test_pairs_found_in_single_precision_are_all(scale):
+    draw = np.random.default_rng(13)
+    points = np.concatenate([draw.normal(0, 0.01, (60, 24)), draw.normal(3, 0.01, (60, 24)), draw.normal(0, 40, (6, 24))]) * scale
+    d = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(-1))
+    limits = np.sort(d, axis=1)[:, 9]
+    pairs = {(a, b) for q, x, _ in near_pairs(points, points, limits, [(np.arange(126), 0, 126)]) for a, b in zip(q.tolist(), x.tolist())}
+    assert pairs == {(int(a), int(b)) for a, b in zip(*np.nonzero(d <= limits[:, None]))}
